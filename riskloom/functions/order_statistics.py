@@ -5,20 +5,22 @@ establishes how many rows lie below, at and between them, and the search goes on
 only inside the interval that is then known to hold the rank. Once a counted
 interval is small, its values are gathered and the answer is read off. The
 sketch decides how fast the search narrows, never what it returns. Each scan
-moves one small row per task, whatever the data size.
+moves one small row per task, whatever the data size: two scans for up to
+``GATHER_ROWS`` values per column, three for 10^8, five for 10^12.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Hashable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 GATHER_ROWS = 200_000
 GATHER_ROWS_PER_SCAN = 4_000_000
-SKETCH_K = 2000
+SKETCH_K = 4000
+GRID = 2000
 MERGE_GROUPS = 256
 
 
@@ -26,99 +28,144 @@ MERGE_GROUPS = 256
 class _Interval:
     """Values strictly between ``low`` and ``high`` that hold the open ``ranks``."""
 
-    series: str
+    series: Hashable
     low: float | None
     high: float | None
     below: int
     size: int
     ranks: list[int]
-    pivots: list[float] = field(default_factory=list)
+    grid: list[float] = field(default_factory=list)
 
     def inside(self, x: Column) -> Column:
-        cond = x.isNotNull()
-        if self.low is not None:
-            cond = cond & (x > F.lit(self.low))
-        if self.high is not None:
-            cond = cond & (x < F.lit(self.high))
-        return cond
+        return _between(x, self.low, self.high)
 
+    def proposals(self) -> list[tuple[float, float]]:
+        """For each rank, a lower and an upper value likely to enclose it."""
+        slack = 4
+        pairs = []
+        for r in self.ranks:
+            place = (r - self.below + 0.5) / self.size * (len(self.grid) - 1)
+            a = max(0, math.floor(place) - slack)
+            b = min(len(self.grid) - 1, math.ceil(place) + slack)
+            pairs.append((self.grid[a], self.grid[b]))
+        return pairs
 
-def two_step_agg(df: DataFrame, sums: Mapping[str, Column], sketches: Mapping[str, Column], k: int):
-    """Sums and quantile sketches of the whole input, merged in two steps.
+
+def _between(x: Column, low: float | None, high: float | None) -> Column:
+    cond = x.isNotNull()
+    if low is not None:
+        cond = cond & (x > F.lit(low))
+    if high is not None:
+        cond = cond & (x < F.lit(high))
+    return cond
+
+
+def _no_nan(x: Column) -> Column:
+    d = x.cast("double")
+    return F.when(~F.isnan(d), d)
+
+
+def _counted(condition: Column) -> Column:
+    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
+
+
+def _scan(df: DataFrame, sums: Mapping[str, Column], sketched: Mapping[str, Column], k: int):
+    """Sums, and sketched values at even steps of rank, of the whole input as one row.
 
     Tasks are first merged in ``MERGE_GROUPS`` groups, so that no single task
     has to take in the sketches of every scan task.
     """
+    if not sketched:
+        return df.agg(*[F.sum(e).alias(n) for n, e in sums.items()]).first()
     first = [F.sum(e).alias(n) for n, e in sums.items()]
-    first += [F.kll_sketch_agg_double(e, F.lit(k)).alias(n) for n, e in sketches.items()]
+    first += [F.kll_sketch_agg_double(e, F.lit(k)).alias(n) for n, e in sketched.items()]
     merged = [F.sum(n).alias(n) for n in sums]
-    merged += [F.kll_merge_agg_double(n).alias(n) for n in sketches]
+    merged += [F.kll_merge_agg_double(n).alias(n) for n in sketched]
     grouped = df.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("_merge_group"))
-    return grouped.agg(*first).agg(*merged)
+    # The function takes constants only; one text is quicker to build than many literals.
+    points = F.split(F.lit(",".join(str(i / GRID) for i in range(GRID + 1))), ",").cast("array<double>")
+    read = [
+        F.when(F.kll_sketch_get_n_double(n) > 0, F.kll_sketch_get_quantile_double(n, points)).alias(n)
+        for n in sketched
+    ]
+    return grouped.agg(*first).agg(*merged).select(*sums, *read).first()
 
 
-def _one(condition: Column) -> Column:
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
+@dataclass(frozen=True)
+class Survey:
+    """Non-missing values per series, and values at even steps of rank (roughly)."""
+
+    counts: dict
+    grids: dict
 
 
-def _propose(iv: _Interval, k: int) -> list[float]:
-    """Ranks, as shares of the interval, a bit below and above each wanted one."""
-    slack = 6.0 / k
-    shares = set()
-    for r in iv.ranks:
-        s = (r - iv.below + 0.5) / iv.size
-        shares.update((max(0.0, s - slack), min(1.0, s + slack)))
-    return sorted(shares)
+def survey(df: DataFrame, series: Mapping[Hashable, Column], k: int = SKETCH_K) -> Survey:
+    """Counts and sketched quantiles of all series in one scan."""
+    names = list(series)
+    x = {n: _no_nan(series[n]) for n in names}
+    row = _scan(
+        df,
+        {f"n{i}": _counted(x[n].isNotNull()) for i, n in enumerate(names)},
+        {f"s{i}": x[n] for i, n in enumerate(names)},
+        k,
+    )
+    return Survey(
+        {n: row[f"n{i}"] or 0 for i, n in enumerate(names)},
+        {n: list(row[f"s{i}"] or ()) for i, n in enumerate(names)},
+    )
+
+
+def _narrow(df: DataFrame, series: Mapping, large: list[_Interval], found: dict, gather_rows: int, k: int):
+    """Count at the proposed values; return the parts that hold the open ranks.
+
+    The parts that are likely to stay large are sketched in the same scan.
+    """
+    sums, sketched, plans = {}, {}, []
+    for i, iv in enumerate(large):
+        x, inside = series[iv.series], iv.inside(series[iv.series])
+        pairs = iv.proposals() if iv.grid else []
+        pivots = sorted({p for pair in pairs for p in pair})
+        for j, p in enumerate(pivots):
+            sums[f"u{i}_{j}"] = _counted(inside & (x < F.lit(p)))
+            sums[f"a{i}_{j}"] = _counted(inside & (x == F.lit(p)))
+        targets = {}
+        if not iv.grid:
+            targets[(iv.low, iv.high)] = f"s{i}_0"
+        elif iv.size * 10 / GRID > gather_rows:
+            inner = [(a, b) for a, b in zip(pivots, pivots[1:]) if any(lo <= a and b <= hi for lo, hi in pairs)]
+            targets = {pair: f"s{i}_{j}" for j, pair in enumerate(inner)}
+        for (a, b), name in targets.items():
+            sketched[name] = F.when(_between(x, a, b), x)
+        plans.append((iv, pivots, targets))
+    row = _scan(df, sums, sketched, k)
+    parts = []
+    for i, (iv, pivots, targets) in enumerate(plans):
+        counts = [(p, row[f"u{i}_{j}"], row[f"a{i}_{j}"]) for j, p in enumerate(pivots)]
+        for part in _split(iv, counts, found):
+            name = targets.get((part.low, part.high))
+            part.grid = list(row[name] or ()) if name else []
+            parts.append(part)
+    return parts
 
 
-def _split(iv: _Interval, counts: Sequence[tuple[float, int, int]], out: dict) -> list[_Interval]:
-    """Divide an interval at its counted pivots; keep the parts that hold ranks."""
+def _split(iv: _Interval, counts: Sequence[tuple[float, int, int]], found: dict) -> list[_Interval]:
+    """Divide an interval at its counted values; keep the parts that hold ranks."""
     parts: list[_Interval] = []
     left = list(iv.ranks)
     low, below = iv.low, iv.below
-    for pivot, under, at in counts:
+    for value, under, at in counts:
         start, stop = iv.below + under, iv.below + under + at
         inner = [r for r in left if r < start]
         if inner:
-            parts.append(_Interval(iv.series, low, pivot, below, start - below, inner))
-        for r in left:
-            if start <= r < stop:
-                out[(iv.series, r)] = pivot
+            parts.append(_Interval(iv.series, low, value, below, start - below, inner))
+        found.update({(iv.series, r): value for r in left if start <= r < stop})
         left = [r for r in left if r >= stop]
-        low, below = pivot, stop
+        low, below = value, stop
     if left:
-        end = iv.below + iv.size
-        parts.append(_Interval(iv.series, low, iv.high, below, end - below, left))
+        parts.append(_Interval(iv.series, low, iv.high, below, iv.below + iv.size - below, left))
     return parts
 
 
-def _sketch_points(df: DataFrame, wanted: Sequence[tuple[int, Column, list[float]]], k: int):
-    """Distinct sketch values at the given shares of each expression."""
-    sketches = {f"s{i}": e for i, e, _ in wanted}
-    merged = two_step_agg(df, {}, sketches, k)
-    row = merged.select(
-        *[
-            F.kll_sketch_get_quantile_double(f"s{i}", F.array(*[F.lit(s) for s in shares])).alias(f"s{i}")
-            for i, _, shares in wanted
-        ]
-    ).first()
-    return {i: sorted(set(row[f"s{i}"])) for i, _, _ in wanted}
-
-
-def _count_scan(df: DataFrame, series: Mapping[str, Column], open_: list[_Interval]):
-    aggs = []
-    for i, iv in enumerate(open_):
-        x, inside = series[iv.series], iv.inside(series[iv.series])
-        for j, p in enumerate(iv.pivots):
-            aggs.append(F.sum(_one(inside & (x < F.lit(p)))).alias(f"u{i}_{j}"))
-            aggs.append(F.sum(_one(inside & (x == F.lit(p)))).alias(f"a{i}_{j}"))
-    row = df.agg(*aggs).first()
-    return [
-        [(p, row[f"u{i}_{j}"], row[f"a{i}_{j}"]) for j, p in enumerate(iv.pivots)]
-        for i, iv in enumerate(open_)
-    ]
-
-
 def _batches(intervals: list[_Interval]) -> list[list[_Interval]]:
     """Intervals grouped so that one scan gathers a bounded number of values."""
     batches: list[list[_Interval]] = []
@@ -132,116 +179,84 @@ def _batches(intervals: list[_Interval]) -> list[list[_Interval]]:
     return batches
 
 
-def _gather(df: DataFrame, series: Mapping[str, Column], small: list[_Interval], out: dict) -> None:
+def _gather(df: DataFrame, series: Mapping, small: list[_Interval], found: dict) -> None:
     """Read the ranks off intervals that are counted to be small."""
     aggs = []
     for i, iv in enumerate(small):
         x = series[iv.series]
         values = F.array_sort(F.collect_list(F.when(iv.inside(x), x)))
-        picked = [F.element_at(values, r - iv.below + 1) for r in iv.ranks]
-        aggs.append(F.array(*picked).alias(f"g{i}"))
-    row = df.agg(*aggs).first()
+        aggs.append(values.alias(f"v{i}"))
+    picked = [
+        F.array(*[F.element_at(f"v{i}", r - iv.below + 1) for r in iv.ranks]).alias(f"g{i}")
+        for i, iv in enumerate(small)
+    ]
+    row = df.agg(*aggs).select(*picked).first()
     for i, iv in enumerate(small):
-        for r, v in zip(iv.ranks, row[f"g{i}"]):
-            out[(iv.series, r)] = v
-
-
-def series_counts(df: DataFrame, series: Mapping[str, Column]) -> dict[str, int]:
-    """Non-missing values of every series, in one scan."""
-    names = list(series)
-    row = df.agg(*[F.count(series[n]).alias(f"n{i}") for i, n in enumerate(names)]).first()
-    return {n: row[f"n{i}"] for i, n in enumerate(names)}
+        found.update({(iv.series, r): v for r, v in zip(iv.ranks, row[f"g{i}"])})
 
 
 def order_statistics(
     df: DataFrame,
-    series: Mapping[str, Column],
-    ranks: Mapping[str, Iterable[int]],
-    counts: Mapping[str, int],
+    series: Mapping[Hashable, Column],
+    ranks: Mapping[Hashable, Iterable[int]],
+    seen: Survey | None = None,
     gather_rows: int = GATHER_ROWS,
     k: int = SKETCH_K,
-) -> dict[tuple[str, int], float]:
+) -> dict[tuple[Hashable, int], float]:
     """``{(series, rank): value}`` for 0-based ranks among the non-missing values.
 
     ``series`` are numeric expressions over ``df``; a part of the data, such as
     one class, is an expression that is NULL elsewhere.
     """
+    seen = seen or survey(df, series, k)
     series = {n: _no_nan(e) for n, e in series.items()}
-    out: dict[tuple[str, int], float] = {}
+    found: dict[tuple[Hashable, int], float] = {}
     open_ = [
-        _Interval(n, None, None, 0, counts[n], sorted(set(ranks[n])))
+        _Interval(n, None, None, 0, seen.counts[n], sorted(set(ranks[n])), seen.grids[n])
         for n in series
-        if counts[n] and ranks[n]
+        if seen.counts[n] and ranks[n]
     ]
     while open_:
-        small = [iv for iv in open_ if iv.size <= gather_rows]
+        for batch in _batches([iv for iv in open_ if iv.size <= gather_rows]):
+            _gather(df, series, batch, found)
         large = [iv for iv in open_ if iv.size > gather_rows]
-        for batch in _batches(small):
-            _gather(df, series, batch, out)
-        open_ = []
-        if large:
-            wanted = [
-                (i, F.when(iv.inside(series[iv.series]), series[iv.series]), _propose(iv, k))
-                for i, iv in enumerate(large)
-            ]
-            points = _sketch_points(df, wanted, k)
-            for i, iv in enumerate(large):
-                iv.pivots = points[i]
-            for iv, counted in zip(large, _count_scan(df, series, large)):
-                open_ += _split(iv, counted, out)
-    return out
-
-
-def _no_nan(x: Column) -> Column:
-    d = x.cast("double")
-    return F.when(~F.isnan(d), d)
+        open_ = _narrow(df, series, large, found, gather_rows, k) if large else []
+    return found
 
 
 def quantiles(
     df: DataFrame,
-    series: Mapping[str, Column],
+    series: Mapping[Hashable, Column],
     shares: Sequence[float] = (0.25, 0.5, 0.75),
     gather_rows: int = GATHER_ROWS,
-) -> dict[str, list[float | None]]:
+) -> dict[Hashable, list[float | None]]:
     """Exact quantiles with linear interpolation between neighbours.
 
     Missing values are left out; a series without values gives ``None``.
     """
-    counts = series_counts(df, {n: _no_nan(e) for n, e in series.items()})
-    places = {n: [s * (counts[n] - 1) for s in shares] for n in series if counts[n]}
+    seen = survey(df, series)
+    places = {n: [s * (seen.counts[n] - 1) for s in shares] for n in series if seen.counts[n]}
     ranks = {
         n: sorted({r for p in places.get(n, ()) for r in (math.floor(p), math.ceil(p))}) for n in series
     }
-    found = order_statistics(df, series, ranks, counts, gather_rows)
-    result: dict[str, list[float | None]] = {}
-    for n in series:
-        if not counts[n]:
-            result[n] = [None] * len(shares)
-            continue
-        row = []
-        for p in places[n]:
-            lo, hi = math.floor(p), math.ceil(p)
-            a, b = found[(n, lo)], found[(n, hi)]
-            row.append(a + (b - a) * (p - lo))
-        result[n] = row
-    return result
-
-
-def value_splits(df: DataFrame, value: Column, rows_per_part: int, max_parts: int = 4096) -> list[float]:
+    found = order_statistics(df, series, ranks, seen, gather_rows)
+
+    def between(n: Hashable, place: float) -> float:
+        a, b = found[(n, math.floor(place))], found[(n, math.ceil(place))]
+        return a + (b - a) * (place - math.floor(place))
+
+    return {n: [between(n, p) for p in places[n]] if n in places else [None] * len(shares) for n in series}
+
+
+def value_splits(df: DataFrame, value: Column, rows_per_part: int, max_parts: int = GRID) -> list[float]:
     """Cut points that divide the values in about equal parts; [] when one part is enough.
 
     The cuts only balance work. They are read once and used as constants, so
     every task and every retry sees the same parts.
     """
-    x = _no_nan(value)
-    row = two_step_agg(df, {"n": _one(x.isNotNull())}, {"s": x}, SKETCH_K).first()
-    parts = min(max_parts, math.ceil((row["n"] or 0) / rows_per_part))
+    seen = survey(df, {"x": value}, k=8000)
+    parts = min(max_parts, math.ceil(seen.counts["x"] / rows_per_part))
     if parts <= 1:
         return []
-    shares = [i / parts for i in range(1, parts)]
-    points = (
-        df.sparkSession.createDataFrame([(row["s"],)], "s binary")
-        .select(F.kll_sketch_get_quantile_double("s", F.array(*[F.lit(s) for s in shares])).alias("p"))
-        .first()["p"]
-    )
-    return sorted(set(points))
+    grid = seen.grids["x"]
+    return sorted({grid[round(i * GRID / parts)] for i in range(1, parts)})

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.keys import hash_number
-from riskloom.functions.order_statistics import order_statistics, series_counts
+from riskloom.functions.order_statistics import Survey, order_statistics, survey
 from riskloom.operators.spread import classes_of
 from riskloom.sources.csv_files import quoted
 
@@ -27,7 +27,15 @@ def train_test_split(
     return df.filter(~test), df.filter(test)
 
 
-def _first_rows(df: DataFrame, key: str, number: Column, groups: dict, cuts: dict) -> dict:
+def _groups(df: DataFrame, key: str, seed: int, stratify: str | None) -> dict:
+    """The hash number of the rows of each class, or of all rows."""
+    number = hash_number(quoted(key), seed, RANK_DIGITS)
+    if not stratify:
+        return {"all": number}
+    return {k: F.when(quoted(stratify) == k, number) for k in classes_of(df, stratify)}
+
+
+def _first_rows(df: DataFrame, key: str, groups: dict, cuts: dict, seen: Survey) -> dict:
     """For each wanted cut, the condition "among the first ``rank`` rows of its group".
 
     Rows are ordered by hash number, then by key. The cut number is found by
@@ -35,8 +43,7 @@ def _first_rows(df: DataFrame, key: str, number: Column, groups: dict, cuts: dic
     itself, hardly ever more than one.
     """
     ranks = {g: [r - 1 for r in rs if r > 0] for g, rs in cuts.items()}
-    counts = series_counts(df, groups)
-    found = order_statistics(df, groups, ranks, counts)
+    found = order_statistics(df, groups, ranks, seen)
     wanted = [(g, r, found[(g, r - 1)]) for g, rs in cuts.items() for r in rs if r > 0]
     sums = []
     for i, (g, _, v) in enumerate(wanted):
@@ -63,14 +70,10 @@ def exact_train_test_split(
     stratify: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """A split with exactly ``ceil(test_share * n)`` test rows, per class if stratified."""
-    number = hash_number(quoted(key), seed, RANK_DIGITS)
-    if stratify:
-        groups = {k: F.when(quoted(stratify) == k, number) for k in classes_of(df, stratify)}
-    else:
-        groups = {"all": number}
-    counts = series_counts(df, groups)
-    cuts = {g: [math.ceil(test_share * counts[g])] for g in groups}
-    conditions = _first_rows(df, key, number, groups, cuts)
+    groups = _groups(df, key, seed, stratify)
+    seen = survey(df, groups)
+    cuts = {g: [math.ceil(test_share * seen.counts[g])] for g in groups}
+    conditions = _first_rows(df, key, groups, cuts, seen)
     test = F.lit(False)
     for condition in conditions.values():
         test = test | F.coalesce(condition, F.lit(False))
@@ -90,14 +93,10 @@ def with_folds(
     The folds are the ``folds`` equal stretches of the rows ordered by hash.
     Only the cut numbers are looked for, so no class is brought to one task.
     """
-    number = hash_number(quoted(key), seed, RANK_DIGITS)
-    if stratify:
-        groups = {k: F.when(quoted(stratify) == k, number) for k in classes_of(df, stratify)}
-    else:
-        groups = {"all": number}
-    counts = series_counts(df, groups)
-    cuts = {g: [_stretch(counts[g], folds, i) for i in range(1, folds)] for g in groups}
-    conditions = _first_rows(df, key, number, groups, cuts)
+    groups = _groups(df, key, seed, stratify)
+    seen = survey(df, groups)
+    cuts = {g: [_stretch(seen.counts[g], folds, i) for i in range(1, folds)] for g in groups}
+    conditions = _first_rows(df, key, groups, cuts, seen)
     fold: Column = F.lit(None).cast("int")
     for g, x in groups.items():
         inner: Column = F.lit(folds - 1)

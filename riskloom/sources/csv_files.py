@@ -124,7 +124,7 @@ def with_row_position(df: DataFrame, name: str = "row_position") -> DataFrame:
     starts = blocks.select(
         "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
-    if df.rdd.getNumPartitions() <= 20_000:
+    if df.rdd.getNumPartitions() <= 5_000:
         starts = F.broadcast(starts)
     placed = df.join(starts, ["_file", "_block"])
     position = (F.col("_start") + F.col("_local") - F.col("_first")).alias(name)
