@@ -14,9 +14,10 @@ MISSING_TEXTS = [
     "n/a", "nan", "null",
 ]
 
+# Patterns, since a failing cast costs an exception per cell.
 _WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
 _DECIMAL = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|Inf|infinity|Infinity)\s*$"
-_TRUTH = r"^(True|TRUE|true|False|FALSE|false)$"
+_TRUTH = ["True", "TRUE", "true", "False", "FALSE", "false"]
 
 
 class MissingInput(FileNotFoundError):
@@ -53,26 +54,33 @@ def _typed(name: str, kind: T.DataType) -> Column:
 
 
 def infer_types(raw: DataFrame) -> T.StructType:
-    """Types of all-text columns, found in one scan over every row."""
-    checks = []
-    for i, name in enumerate(raw.columns):
-        text = blank_to_null(quoted(name))
-        checks += [
-            F.count(text).alias(f"n{i}"),
-            F.bool_and(text.rlike(_WHOLE)).alias(f"w{i}"),
-            F.bool_and(text.rlike(_DECIMAL)).alias(f"d{i}"),
-            F.bool_and(text.rlike(_TRUTH)).alias(f"b{i}"),
-        ]
-    row = raw.agg(*checks).first()
+    """Types of all-text columns, found in one scan over every row.
+
+    The cells are put in one column and classified there: the generated code
+    stays small however many columns there are.
+    """
+    cells = F.posexplode(F.array(*[quoted(c) for c in raw.columns])).alias("i", "cell")
+    text = F.col("cell")
+    # 1 whole, 2 decimal, 3 truth value, 4 text; the checks stop at the first that fits.
+    code = (
+        F.when(text.rlike(_WHOLE), 1)
+        .when(text.rlike(_DECIMAL), 2)
+        .when(text.isin(_TRUTH), 3)
+        .otherwise(4)
+    )
+    present = raw.select(cells).filter(text.isNotNull() & ~text.isin(MISSING_TEXTS))
+    rows = present.select("i", code.alias("code")).groupBy("i").agg(
+        F.min("code").alias("low"), F.max("code").alias("high")
+    )
+    found = {r["i"]: (r["low"], r["high"]) for r in rows.collect()}
 
     def kind(i: int) -> T.DataType:
-        if not row[f"n{i}"]:
-            return T.DoubleType()
-        if row[f"w{i}"]:
+        low, high = found.get(i, (2, 2))
+        if high == 1:
             return T.LongType()
-        if row[f"d{i}"]:
+        if high == 2:
             return T.DoubleType()
-        return T.BooleanType() if row[f"b{i}"] else T.StringType()
+        return T.BooleanType() if low == high == 3 else T.StringType()
 
     return T.StructType([T.StructField(c, kind(i)) for i, c in enumerate(raw.columns)])
 
