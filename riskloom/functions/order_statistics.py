@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 GATHER_ROWS = 200_000
-GATHER_ROWS_PER_SCAN = 4_000_000
+GATHER_ROWS_PER_SCAN = 2_000_000
 SKETCH_K = 4000
 GRID = 2000
 MERGE_GROUPS = 256

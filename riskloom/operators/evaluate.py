@@ -100,51 +100,59 @@ def flagged_against_actual(df: DataFrame, label: str = "PD", predicted: str = "f
     )
 
 
-def _in_parts(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataFrame:
-    """Scored rows with the part of the score range they lie in.
-
-    The parts are cut at quantiles of the scores, so that each can be sorted by
-    one task.
-    """
-    rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-    rows = rows.select(*by, F.col(score).cast("double").alias("score"), F.col(label).alias("_y"))
-    cuts = value_splits(rows, F.col("score"), ROWS_PER_PART)
-    if not cuts:
-        return rows.withColumn("part", F.lit(0.0))
-    edges = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=edges, inputCol="score", outputCol="part").transform(rows)
+def _before(x: str, window) -> Column:
+    return F.coalesce(F.sum(x).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def _ranked(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataFrame:
     """Per distinct score: positives and negatives at it, above it and in all.
 
-    Equal scores are merged before they are shuffled. Running totals come in
-    two steps, over the few parts and inside each part. The totals of the parts
-    are taken from the rows: that is a scan with a tiny shuffle, whereas taking
-    them from the merged scores would merge and shuffle these a second time.
+    Equal scores are merged before they are shuffled. Few rows are ranked by
+    one window. Otherwise the score range is cut in parts at quantiles of the
+    scores, each sorted by one task, and running totals come in two steps, over
+    the few parts and inside each part. The totals of the parts are taken from
+    the rows: a scan with a tiny shuffle, whereas taking them from the merged
+    scores would merge and shuffle these a second time.
     """
-    rows = _in_parts(df, score, label, by)
+    rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    rows = rows.select(*by, F.col(score).cast("double").alias("score"), F.col(label).alias("_y"))
     pos, neg = count_where(F.col("_y") == 1), count_where(F.col("_y") == 0)
+    whole = Window.partitionBy(*by)
+    cuts = value_splits(rows, F.col("score"), ROWS_PER_PART)
+    if not cuts:
+        totals = rows.groupBy(*by, "score").agg(pos.alias("pos"), neg.alias("neg"))
+        down = whole.orderBy(F.desc("score"))
+        return totals.select(
+            *by,
+            "score",
+            "pos",
+            "neg",
+            _before("pos", down).alias("pos_above"),
+            _before("neg", down).alias("neg_above"),
+            F.sum("pos").over(whole).alias("all_pos"),
+            F.sum("neg").over(whole).alias("all_neg"),
+        )
+    edges = [float("-inf"), *cuts, float("inf")]
+    rows = Bucketizer(splits=edges, inputCol="score", outputCol="part").transform(rows)
     totals = rows.groupBy(*by, "part", "score").agg(pos.alias("pos"), neg.alias("neg"))
     per_part = rows.groupBy(*by, "part").agg(pos.alias("_pp"), neg.alias("_pn"))
-    higher = Window.partitionBy(*by).orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
+    parts_down = whole.orderBy(F.desc("part"))
     starts = per_part.select(
         *by,
         "part",
-        F.coalesce(F.sum("_pp").over(higher), F.lit(0)).alias("_pos_before"),
-        F.coalesce(F.sum("_pn").over(higher), F.lit(0)).alias("_neg_before"),
+        _before("_pp", parts_down).alias("_pos_before"),
+        _before("_pn", parts_down).alias("_neg_before"),
         F.sum("_pp").over(whole).alias("all_pos"),
         F.sum("_pn").over(whole).alias("all_neg"),
     )
-    inside = Window.partitionBy(*by, "part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*by, "part").orderBy(F.desc("score"))
     return totals.join(starts, [*by, "part"]).select(
         *by,
         "score",
         "pos",
         "neg",
-        (F.col("_pos_before") + F.coalesce(F.sum("pos").over(inside), F.lit(0))).alias("pos_above"),
-        (F.col("_neg_before") + F.coalesce(F.sum("neg").over(inside), F.lit(0))).alias("neg_above"),
+        (F.col("_pos_before") + _before("pos", down)).alias("pos_above"),
+        (F.col("_neg_before") + _before("neg", down)).alias("neg_above"),
         "all_pos",
         "all_neg",
     )

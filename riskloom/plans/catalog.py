@@ -77,7 +77,8 @@ QUICK = {
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
+    """Register a query; a trailing underscore keeps its name apart from an operator's."""
+    QUERIES[f.__name__.rstrip("_")] = f
     return f
 
 
@@ -377,7 +378,7 @@ def iqr_treatment(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def one_hot_columns(spark: SparkSession, folder: str) -> DataFrame:
+def one_hot_(spark: SparkSession, folder: str) -> DataFrame:
     loans = stage(clean(spark, folder), "clean")
     return rounded(one_hot(loans, fit_vocabulary(loans, ["emp_length", "purpose"])))
 
@@ -391,7 +392,7 @@ def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def train_test_flags(spark: SparkSession, folder: str) -> DataFrame:
+def train_test_split_(spark: SparkSession, folder: str) -> DataFrame:
     return clean(spark, folder).select("loan_id", is_test("loan_id").cast("int").alias("test"))
 
 
@@ -639,7 +640,7 @@ def lgd_final(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def score_loans(spark: SparkSession, folder: str) -> DataFrame:
+def score_portfolio_(spark: SparkSession, folder: str) -> DataFrame:
     return quick_run(spark, folder).scored
 
 

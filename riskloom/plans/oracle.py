@@ -153,13 +153,6 @@ def _union(rows) -> str:
     return " union all ".join(rows)
 
 
-def _fence(c: str, where: str = "true") -> str:
-    return (
-        f"select '{c}' as \"column\", {c} as v, quantile_cont({c}, 0.25) over () as q1, "
-        f"quantile_cont({c}, 0.5) over () as med, quantile_cont({c}, 0.75) over () as q3 from clean where {where}"
-    )
-
-
 def _quartiles(c: str, where: str = "true") -> str:
     return (
         f"(select quantile_cont({c}, 0.25) as q1, quantile_cont({c}, 0.5) as med, "
@@ -328,13 +321,13 @@ select count(*) as total_loans, cast(7 as bigint) as features, round(avg(PD), 6)
     # Transforms
     "iqr_treatment": BASE + "select loan_id, " + ", ".join(_iqr_column(c) for c in NUMBERS) + " from clean, "
     + ", ".join(f"{_quartiles(f'cast({c} as double)')} as q_{c}" for c in NUMBERS),
-    "one_hot_columns": BASE + ONE_HOT.format(kind="integer"),
+    "one_hot": BASE + ONE_HOT.format(kind="integer"),
     "standard_scale": BASE + ", m as (select " + ", ".join(
         f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in SCALED
     ) + " from hashed where h % 5 <> 0) select loan_id, " + ", ".join(
         f"round(({c} - m_{c}) / s_{c}, 6) as {c}" for c in SCALED
     ) + " from hashed, m where h % 5 = 0",
-    "train_test_flags": BASE + "select loan_id, cast(case when h % 5 = 0 then 1 else 0 end as integer) as test from hashed",
+    "train_test_split": BASE + "select loan_id, cast(case when h % 5 = 0 then 1 else 0 end as integer) as test from hashed",
     "exact_split": BASE + f"""
 , r as (select loan_id, PD, row_number() over (order by {_hash(42, 13)}, loan_id) as i, count(*) over () as n from clean)
 select loan_id, PD from r where i <= {_split_cut('0.2')}""",

@@ -42,6 +42,7 @@ def scratch_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     made = tempfile.mkdtemp(prefix="riskloom-")
     spark.conf.set("spark.checkpoint.dir", made)
+    spark.sparkContext.setCheckpointDir(made)
     return made
 
 

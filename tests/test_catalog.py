@@ -17,6 +17,32 @@ def test_twins_belong_to_queries():
     assert set(ORACLE) <= set(QUERIES)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_twin(spark, tables, name):
-    assert differences(QUERIES[name](spark, TABLES), tables, ORACLE[name]) == []
+    df = QUERIES[name](spark, TABLES)
+    assert differences(df, tables, ORACLE[name]) == []
+    plan = plan_of(df)
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas"):
+        assert unwanted not in plan
+
+
+def test_only_needed_columns_are_read(spark):
+    plan = plan_of(QUERIES["confusion"](spark, TABLES))
+    assert "struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan
+    assert "struct<l_orderkey:bigint,l_extendedprice:double,l_returnflag:string>" in plan
+    assert "struct<c_custkey:bigint>" in plan
+
+
+def test_line_table_is_shuffled_once(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["confusion"](spark, TABLES)
+        # Lines by order, orders by order, both then by customer, and customers.
+        assert plan_of(df).count("Exchange hashpartitioning") == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

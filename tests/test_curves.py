@@ -79,3 +79,12 @@ def test_curve_on_grid(scores, parts):
     assert [r["fpr"] for r in grid] == pytest.approx([i / 10 for i in range(11)])
     for r in grid:
         assert r["tpr"] == max(t for f, t in points if f <= r["fpr"] + 1e-9)
+
+
+def test_scores_are_merged_and_shuffled_once(scores, monkeypatch):
+    monkeypatch.setattr(E, "ROWS_PER_PART", 60)
+    plan = E.roc_curve(scores)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    # Only one exchange carries scores to be merged; the totals of the parts need none.
+    merges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "score" in x]
+    assert len(merges) == 1
