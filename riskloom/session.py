@@ -40,10 +40,9 @@ def scratch_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="riskloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -106,6 +106,30 @@ def test_stage_reads_back_what_was_written(spark, ten_loans):
     assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
 
 
+class Unset:
+    """A session without spark.checkpoint.dir."""
+
+    def __init__(self, master):
+        self.conf = self.sparkContext = self
+        self.master, self.folder = master, None
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_a_local_session_makes_its_own_folder(spark):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Unset("spark://host:7077"))
+    local = Unset("local[4]")
+    assert session.scratch_dir(local) == session.scratch_dir(local) == local.folder
+
+
 def test_month_text(spark):
     month = spark.sql("select date_format(current_date(), 'yyyy-MM')").first()[0]
     assert datetime.datetime.strptime(month, "%Y-%m")
