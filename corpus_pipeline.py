@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import quality_rules, simhash
+from riskloom.llm import mixing, packing, personal_data, quality_rules, simhash
 from riskloom.llm.common import table
 from riskloom.session import stage
 
@@ -23,7 +23,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one_of_each(docs)
 
 
-STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_duplicates)]
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by marks."""
+    return personal_data.redact(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their training sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("simhash_near_dedup", near_duplicates),
+    ("personal_data", private),
+    ("mix_sources", mixture),
+    ("best_fit_packing", packed),
+]
 
 # The learned rules, the fingerprints and the packing have no SQL form; tests use brute force.
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import quality_rules, simhash
+from riskloom.llm import mixing, packing, personal_data, quality_rules, simhash
 from riskloom.llm.common import table
 
 
@@ -19,9 +19,36 @@ def op6_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.mix(table(spark, folder, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data.find_personal_data(table(spark, folder, "documents"), carry=["doc_id"])
+    counts = [
+        F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+        for kind in personal_data.KINDS
+    ]
+    names = personal_data.span_names
+    return found.select(
+        "row.doc_id",
+        *counts,
+        F.sha2(names(F.col("base")), 256).alias("base_sha256"),
+        names(personal_data.all_spans(F.col("base"), F.col("found"))).alias("spans"),
+    )
+
+
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_simhash_groups": op6_simhash_groups,
+    "op7_mix_sources": op7_mix_sources,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_personal_data": op10_personal_data,
 }
 
 # SQL twins; the operators that SQL cannot express are tested against brute force.
