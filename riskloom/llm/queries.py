@@ -4,10 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import mixing, packing, personal_data, quality_rules, simhash
+from riskloom.llm import licenses, mixing, packing, personal_data, quality_rules, simhash, toxicity
 from riskloom.llm.common import table
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+    first = F.transform(base, lambda p: p["first"])
+    names = licenses.labels_of
+    score = F.array_max(F.transform("places", lambda p: p["score"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(first).alias("first_word"),
+        F.array_max(first).alias("last_word"),
+        names(base).alias("base_labels"),
+        names(F.col("places")).alias("labels"),
+        F.least(F.lit(1.0), F.coalesce(score, F.lit(0.0))).alias("score"),
+    )
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows, _ = quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return rows.select("doc_id", *quality_rules.STATISTICS, "base_failed", "kept")
@@ -44,6 +67,8 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op6_simhash_groups": op6_simhash_groups,
     "op7_mix_sources": op7_mix_sources,
