@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import licenses, mixing, packing, personal_data, quality_rules, simhash, toxicity
+from riskloom.llm import licenses, mixing, packing, personal_data, quality_model, quality_rules, simhash, toxicity
 from riskloom.llm.common import table
 
 
@@ -51,6 +51,11 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality_model.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = personal_data.find_personal_data(table(spark, folder, "documents"), carry=["doc_id"])
     counts = [
@@ -73,6 +78,7 @@ QUERIES = {
     "op6_simhash_groups": op6_simhash_groups,
     "op7_mix_sources": op7_mix_sources,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_personal_data": op10_personal_data,
 }
 
