@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import licenses, mixing, packing, personal_data, quality_model, quality_rules, simhash, toxicity
+from riskloom.llm import licenses, mixing, packing, personal_data, pitman_yor, quality_model, quality_rules, simhash, toxicity
 from riskloom.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", *quality_rules.STATISTICS, "base_failed", "kept")
 
 
+def op5_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    return pitman_yor.score(table(spark, folder, "documents"))
+
+
 def op6_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
@@ -75,6 +79,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
+    "op5_pitman_yor": op5_pitman_yor,
     "op6_simhash_groups": op6_simhash_groups,
     "op7_mix_sources": op7_mix_sources,
     "op8_best_fit_packing": op8_best_fit_packing,
