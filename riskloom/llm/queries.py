@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import licenses, mixing, packing, personal_data, pitman_yor, quality_model, quality_rules, simhash, toxicity
+from riskloom.llm import licenses, mixing, nearest, packing, personal_data, pitman_yor, quality_model, quality_rules, simhash, toxicity
 from riskloom.llm.common import table
 
 
+def op1_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan(table(spark, folder, "documents"))
     base = F.filter("places", lambda p: p["base"])
@@ -76,6 +80,7 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
