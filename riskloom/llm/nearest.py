@@ -38,7 +38,9 @@ PIECE = 2048
 RECALL = 0.95
 # Columns of a block, and how sure a test must be to abandon a candidate.
 BLOCK = 16
-SURE = 2.5
+SURE = 2.1
+# Candidates measured in full after the first block, times the neighbours kept.
+SEEDS = 4
 
 
 def usable(vector: Column) -> Column:
@@ -100,8 +102,8 @@ def probes_for(sample: np.ndarray, centers: np.ndarray, neighbours: int, recall:
 def adaptive_scan(queries: np.ndarray, vectors: np.ndarray, keep: int, turn: np.ndarray, sure: float = SURE) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query row, vector row) that may be among the ``keep`` nearest of a query in this list.
 
-    After the first block the ``keep`` candidates of least partial distance are
-    measured in full; the largest of these bounds what still matters.
+    After the first block the candidates of least partial distance, a few times
+    ``keep``, are measured in full; the ``keep``-th of these bounds what still matters.
     """
     width = queries.shape[1]
     if len(vectors) <= keep:
@@ -114,9 +116,12 @@ def adaptive_scan(queries: np.ndarray, vectors: np.ndarray, keep: int, turn: np.
     partial = (
         (q_blocks[0] ** 2).sum(1)[:, None] + (v_blocks[0] ** 2).sum(1)[None, :] - 2 * q_blocks[0] @ v_blocks[0].T
     )
-    seeds = np.argpartition(partial, keep - 1, axis=1)[:, :keep]
+    tried = min(SEEDS * keep, len(v))
+    seeds = np.argpartition(partial, tried - 1, axis=1)[:, :tried]
     full = ((q[:, None, :] - v[seeds]) ** 2).sum(axis=2)
-    bound = full.max(axis=1)
+    best = np.argpartition(full, keep - 1, axis=1)[:, :keep]
+    bound = np.take_along_axis(full, best, axis=1).max(axis=1)
+    seeds = np.take_along_axis(seeds, best, axis=1)
     seen = blocks[0].stop
     test = lambda n: (n / width) * (1 + sure / np.sqrt(n)) ** 2
     a, b = np.nonzero(partial <= bound[:, None] * (test(seen) if seen < width else 1) + 1e-9)
