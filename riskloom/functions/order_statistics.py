@@ -6,7 +6,7 @@ only inside the interval that is then known to hold the rank. Once a counted
 interval is small, its values are gathered and the answer is read off. The
 sketch decides how fast the search narrows, never what it returns. Each scan
 moves one small row per task, whatever the data size: two scans for up to
-``GATHER_ROWS`` values per column, three for 10^8, five for 10^12.
+``GATHER_ROWS`` values per column, three for 10^5, five or six for 10^12.
 """
 
 from __future__ import annotations
@@ -15,10 +15,11 @@ import math
 from collections.abc import Hashable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-GATHER_ROWS = 200_000
-GATHER_ROWS_PER_SCAN = 2_000_000
+GATHER_ROWS = 1_000
+GATHER_ROWS_PER_SCAN = 100_000
 SKETCH_K = 4000
 GRID = 2000
 MERGE_GROUPS = 256
@@ -248,15 +249,29 @@ def quantiles(
     return {n: [between(n, p) for p in places[n]] if n in places else [None] * len(shares) for n in series}
 
 
-def value_splits(df: DataFrame, value: Column, rows_per_part: int, max_parts: int = GRID) -> list[float]:
+def value_splits(df: DataFrame, value: Column, rows_per_part: int, coarse: int = 1000) -> list[float]:
     """Cut points that divide the values in about equal parts; [] when one part is enough.
 
-    The cuts only balance work. They are read once and used as constants, so
-    every task and every retry sees the same parts.
+    Up to ``coarse`` parts are read off one sketch. When more are needed, each
+    of these is sketched by itself and cut again. The cuts only balance work.
+    They are read once and used as constants, so every task and every retry
+    sees the same parts.
     """
-    seen = survey(df, {"x": value}, k=8000)
-    parts = min(max_parts, math.ceil(seen.counts["x"] / rows_per_part))
+    rows = df.select(_no_nan(value).alias("x"))
+    seen = survey(rows, {"x": F.col("x")}, k=8000)
+    parts = math.ceil(seen.counts["x"] / rows_per_part)
     if parts <= 1:
         return []
     grid = seen.grids["x"]
-    return sorted({grid[round(i * GRID / parts)] for i in range(1, parts)})
+    first = min(parts, coarse)
+    cuts = sorted({grid[round(i * GRID / first)] for i in range(1, first)})
+    if parts <= coarse or not cuts:
+        return cuts
+    each = math.ceil(parts / coarse)
+    steps = F.array(*[F.lit(i / each) for i in range(1, each)])
+    placed = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="x", outputCol="part").transform(
+        rows.filter(F.col("x").isNotNull())
+    )
+    sketched = placed.groupBy("part").agg(F.kll_sketch_agg_double("x", F.lit(4000)).alias("s"))
+    finer = sketched.select(F.explode(F.kll_sketch_get_quantile_double("s", steps)).alias("x")).distinct()
+    return sorted({*cuts, *(r["x"] for r in finer.collect())})

@@ -20,7 +20,7 @@ DEFAULT_THRESHOLDS = [0.05, 0.10, 0.15, 0.20, 0.25, 0.30, 0.35, 0.40, 0.45, 0.50
 # Fixed value: the threshold at which loans are flagged.
 OPERATING_THRESHOLD = 0.10
 
-ROWS_PER_PART = 500_000
+ROWS_PER_PART = 50_000
 
 
 def flagged(df: DataFrame, score: str = "p", threshold: float = OPERATING_THRESHOLD, name: str = "flag") -> DataFrame:
@@ -107,32 +107,20 @@ def _before(x: str, window) -> Column:
 def _ranked(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataFrame:
     """Per distinct score: positives and negatives at it, above it and in all.
 
-    Equal scores are merged before they are shuffled. Few rows are ranked by
-    one window. Otherwise the score range is cut in parts at quantiles of the
-    scores, each sorted by one task, and running totals come in two steps, over
-    the few parts and inside each part. The totals of the parts are taken from
-    the rows: a scan with a tiny shuffle, whereas taking them from the merged
-    scores would merge and shuffle these a second time.
+    Rows without a score (missing or NaN) or label are left out. Equal scores are
+    merged before they are shuffled. The score range is cut in parts at quantiles
+    of the scores, each sorted by one task, and running totals come in two steps,
+    over the few parts and inside each part. The totals of the parts are taken
+    from the rows: a scan with a tiny shuffle, whereas taking them from the
+    merged scores would merge and shuffle these a second time.
     """
-    rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-    rows = rows.select(*by, F.col(score).cast("double").alias("score"), F.col(label).alias("_y"))
+    value = F.col(score).cast("double")
+    rows = df.filter(value.isNotNull() & ~F.isnan(value) & F.col(label).isNotNull())
+    rows = rows.select(*by, value.alias("score"), F.col(label).alias("_y"))
     pos, neg = count_where(F.col("_y") == 1), count_where(F.col("_y") == 0)
     whole = Window.partitionBy(*by)
-    cuts = value_splits(rows, F.col("score"), ROWS_PER_PART)
-    if not cuts:
-        totals = rows.groupBy(*by, "score").agg(pos.alias("pos"), neg.alias("neg"))
-        down = whole.orderBy(F.desc("score"))
-        return totals.select(
-            *by,
-            "score",
-            "pos",
-            "neg",
-            _before("pos", down).alias("pos_above"),
-            _before("neg", down).alias("neg_above"),
-            F.sum("pos").over(whole).alias("all_pos"),
-            F.sum("neg").over(whole).alias("all_neg"),
-        )
-    edges = [float("-inf"), *cuts, float("inf")]
+    # A cut at 0 alone does no harm and lets one part take the same way as many.
+    edges = [float("-inf"), *(value_splits(rows, F.col("score"), ROWS_PER_PART) or [0.0]), float("inf")]
     rows = Bucketizer(splits=edges, inputCol="score", outputCol="part").transform(rows)
     totals = rows.groupBy(*by, "part", "score").agg(pos.alias("pos"), neg.alias("neg"))
     per_part = rows.groupBy(*by, "part").agg(pos.alias("_pp"), neg.alias("_pn"))
@@ -225,14 +213,12 @@ def threshold_counts(
     return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def threshold_sweep(
-    df: DataFrame, thresholds: Sequence[float] | None = None, score: str = "p", label: str = "PD"
-) -> DataFrame:
-    """Precision, recall and F1 per threshold, to three digits; no or an empty list means the default."""
+def sweep_rates(counts: DataFrame) -> DataFrame:
+    """Precision, recall and F1 of threshold counts, to three digits."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     precision = ratio_or_zero(tp.cast("double"), tp + fp)
     recall = ratio_or_zero(tp.cast("double"), tp + fn)
-    return threshold_counts(df, thresholds, score, label).select(
+    return counts.select(
         "threshold",
         half_even(precision, 3).alias("precision"),
         half_even(recall, 3).alias("recall"),
@@ -240,13 +226,24 @@ def threshold_sweep(
     )
 
 
+def threshold_sweep(
+    df: DataFrame, thresholds: Sequence[float] | None = None, score: str = "p", label: str = "PD"
+) -> DataFrame:
+    """The rates at each threshold; no or an empty list means the default."""
+    return sweep_rates(threshold_counts(df, thresholds, score, label))
+
+
 def operating_point(sweep: DataFrame, threshold: float = OPERATING_THRESHOLD) -> DataFrame:
     return sweep.filter(F.abs(F.col("threshold") - threshold) < 1e-9)
 
 
-def choose_threshold(sweep: DataFrame, min_recall: float = 0.95) -> DataFrame:
-    """The largest threshold whose recall still reaches ``min_recall``."""
-    return sweep.filter(F.col("recall") >= min_recall).orderBy(F.desc("threshold")).limit(1)
+def choose_threshold(counts: DataFrame, min_recall: float = 0.95) -> DataFrame:
+    """The rates at the largest threshold whose recall, before rounding, still reaches ``min_recall``.
+
+    ``counts`` is the result of :func:`threshold_counts`.
+    """
+    recall = ratio_or_zero(F.col("tp").cast("double"), F.col("tp") + F.col("fn"))
+    return sweep_rates(counts.filter(recall >= min_recall).orderBy(F.desc("threshold")).limit(1))
 
 
 def regression_metrics(

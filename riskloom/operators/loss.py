@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.functions.numeric import clip, half_even, loan_label, money_text, percent_text, ratio
+from riskloom.functions.numeric import clip, count_where, half_even, loan_label, money_text, percent_text, ratio
 
 
 def expected_loss(
@@ -16,11 +16,27 @@ def expected_loss(
 
 
 def loss_summary(df: DataFrame, exposure: str = "EAD", loss: str = "el") -> DataFrame:
-    """Portfolio value, expected loss and its share, in one row."""
-    return df.agg(F.sum(exposure).alias("portfolio_value"), F.sum(loss).alias("expected_loss")).select(
+    """Portfolio value, expected loss, its share, and the loans without a loss, in one row.
+
+    A loan that lacks its exposure or its prediction has no loss. The totals
+    it would belong to are then unknown, so NULL, rather than too small.
+    """
+    sums = df.agg(
+        F.sum(exposure).alias("_value"),
+        F.sum(loss).alias("_loss"),
+        count_where(F.col(exposure).isNull()).alias("_open"),
+        count_where(F.col(loss).isNull()).alias("unscored"),
+    )
+    known = sums.select(
+        F.when(F.col("_open") == 0, F.col("_value")).alias("portfolio_value"),
+        F.when(F.col("unscored") == 0, F.col("_loss")).alias("expected_loss"),
+        "unscored",
+    )
+    return known.select(
         "portfolio_value",
         "expected_loss",
         ratio(F.col("expected_loss"), F.col("portfolio_value")).alias("expected_loss_pct"),
+        "unscored",
     )
 
 

@@ -21,16 +21,21 @@ def text_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name not in exclude]
 
 
-def per_column(df: DataFrame, columns: Sequence[str], measures: dict, key: str = "column") -> DataFrame:
+def per_column(
+    df: DataFrame, columns: Sequence[str], measures: dict, key: str = "column", constants: Sequence[str] = ()
+) -> DataFrame:
     """One row per column from a single scan.
 
     ``measures`` maps a result field to a function from a column name to an
-    aggregate (or a constant).
+    aggregate, or to a plain value if the field is one of ``constants``.
     """
     aggs, structs = [], []
     for i, c in enumerate(columns):
         fields = [F.lit(c).alias(key)]
         for m, make in measures.items():
+            if m in constants:
+                fields.append(make(c).alias(m))
+                continue
             aggs.append(make(c).alias(f"{m}_{i}"))
             fields.append(F.col(f"{m}_{i}").alias(m))
         structs.append(F.struct(*fields))
@@ -38,16 +43,8 @@ def per_column(df: DataFrame, columns: Sequence[str], measures: dict, key: str =
 
 
 def columns_by_kind(df: DataFrame, exclude: Sequence[str] = TARGETS) -> DataFrame:
-    """The columns with their type and kind: numeric, text, target or other."""
-    numeric, text = numeric_columns(df, exclude), text_columns(df, exclude)
-
-    def kind(name: str) -> str:
-        if name in exclude:
-            return "target"
-        return "numeric" if name in numeric else "text" if name in text else "other"
-
-    rows = [(i, f.name, f.dataType.simpleString(), kind(f.name)) for i, f in enumerate(df.schema)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, type string, kind string")
+    """The columns with their type, kind (numeric, text, target or other) and non-missing cells."""
+    return table_info(df, exclude).select("position", "column", "type", "kind", "non_null")
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -55,7 +52,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     q = quantiles(df, {c: quoted(c) for c in columns})
 
     def constant(i: int):
-        return lambda c: F.first(F.lit(q[c][i]).cast("double"))
+        return lambda c: F.lit(q[c][i]).cast("double")
 
     return per_column(
         df,
@@ -70,6 +67,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             "q75": constant(2),
             "max": lambda c: F.max(quoted(c)).cast("double"),
         },
+        constants=("q25", "q50", "q75"),
     )
 
 
@@ -91,26 +89,33 @@ def null_rates(df: DataFrame, columns: Sequence[str] | None = None, top: int | N
     return out.limit(top) if top else out
 
 
-def table_info(df: DataFrame) -> DataFrame:
-    """Column order, name, non-missing cells and type."""
+def table_info(df: DataFrame, exclude: Sequence[str] = TARGETS) -> DataFrame:
+    """Column order, name, non-missing cells, type and kind."""
     types = {f.name: f.dataType.simpleString() for f in df.schema}
+    numeric, text = numeric_columns(df, exclude), text_columns(df, exclude)
+
+    def kind(name: str) -> str:
+        if name in exclude:
+            return "target"
+        return "numeric" if name in numeric else "text" if name in text else "other"
+
     position = {c: i for i, c in enumerate(df.columns)}
     return per_column(
         df,
         df.columns,
         {
-            "position": lambda c: F.first(F.lit(position[c])),
+            "position": lambda c: F.lit(position[c]),
             "non_null": lambda c: F.count(quoted(c)),
-            "type": lambda c: F.first(F.lit(types[c])),
+            "type": lambda c: F.lit(types[c]),
+            "kind": lambda c: F.lit(kind(c)),
         },
+        constants=("position", "type", "kind"),
     )
 
 
 def shape(df: DataFrame) -> DataFrame:
     n = len(df.columns)
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.first(F.lit(n)).cast("bigint").alias("columns")).fillna(
-        {"columns": n}
-    )
+    return df.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(n).cast("bigint").alias("columns"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

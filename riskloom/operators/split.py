@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.keys import hash_number
 from riskloom.functions.order_statistics import Survey, order_statistics, survey
-from riskloom.operators.spread import classes_of
+from riskloom.operators.spread import MAX_CLASSES, classes_of
 from riskloom.sources.csv_files import quoted
 
 # 52 bits: as fine as a double can hold, so equal numbers are very rare.
@@ -16,8 +16,8 @@ RANK_DIGITS = 13
 
 
 def is_test(key: str, seed: int = 42, one_in: int = 5) -> Column:
-    """True for about one key in ``one_in``; needs no pass over the data."""
-    return hash_number(F.col(key), seed) % one_in == 0
+    """True for about one key in ``one_in``; needs no pass over the data. A missing key is not a test key."""
+    return F.coalesce(hash_number(quoted(key), seed) % one_in == 0, F.lit(False))
 
 
 def train_test_split(
@@ -27,12 +27,12 @@ def train_test_split(
     return df.filter(~test), df.filter(test)
 
 
-def _groups(df: DataFrame, key: str, seed: int, stratify: str | None) -> dict:
+def _groups(df: DataFrame, key: str, seed: int, stratify: str | None, max_classes: int = MAX_CLASSES) -> dict:
     """The hash number of the rows of each class, or of all rows."""
     number = hash_number(quoted(key), seed, RANK_DIGITS)
     if not stratify:
         return {"all": number}
-    return {k: F.when(quoted(stratify) == k, number) for k in classes_of(df, stratify)}
+    return {k: F.when(quoted(stratify) == k, number) for k in classes_of(df, stratify, max_classes)}
 
 
 def _first_rows(df: DataFrame, key: str, groups: dict, cuts: dict, seen: Survey) -> dict:
@@ -68,9 +68,10 @@ def exact_train_test_split(
     seed: int = 42,
     test_share: float = 0.2,
     stratify: str | None = None,
+    max_classes: int = MAX_CLASSES,
 ) -> tuple[DataFrame, DataFrame]:
     """A split with exactly ``ceil(test_share * n)`` test rows, per class if stratified."""
-    groups = _groups(df, key, seed, stratify)
+    groups = _groups(df, key, seed, stratify, max_classes)
     seen = survey(df, groups)
     cuts = {g: [math.ceil(test_share * seen.counts[g])] for g in groups}
     conditions = _first_rows(df, key, groups, cuts, seen)
@@ -87,13 +88,14 @@ def with_folds(
     seed: int = 42,
     stratify: str | None = None,
     name: str = "fold",
+    max_classes: int = MAX_CLASSES,
 ) -> DataFrame:
     """Number rows 0 … folds-1 in random order; per class, fold sizes differ by one at most.
 
     The folds are the ``folds`` equal stretches of the rows ordered by hash.
     Only the cut numbers are looked for, so no class is brought to one task.
     """
-    groups = _groups(df, key, seed, stratify)
+    groups = _groups(df, key, seed, stratify, max_classes)
     seen = survey(df, groups)
     cuts = {g: [_stretch(seen.counts[g], folds, i) for i in range(1, folds)] for g in groups}
     conditions = _first_rows(df, key, groups, cuts, seen)

@@ -50,11 +50,12 @@ def outlier_counts(df: DataFrame, fences: Mapping[str, Fence]) -> DataFrame:
         df,
         list(fences),
         {
-            "q1": lambda c: F.first(F.lit(fences[c].q1).cast("double")),
-            "q3": lambda c: F.first(F.lit(fences[c].q3).cast("double")),
+            "q1": lambda c: F.lit(fences[c].q1).cast("double"),
+            "q3": lambda c: F.lit(fences[c].q3).cast("double"),
             "below": lambda c: beyond(c, "low"),
             "above": lambda c: beyond(c, "high"),
         },
+        constants=("q1", "q3"),
     )
 
 
@@ -71,7 +72,11 @@ def treat_outliers(df: DataFrame, fences: Mapping[str, Fence]) -> DataFrame:
 
 
 def classes_of(df: DataFrame, column: str, limit: int = MAX_CLASSES) -> list:
-    """The distinct values of a class column; more than ``limit`` is an error."""
+    """The distinct values of a class column; more than ``limit`` is an error.
+
+    A class is an expression in one scan, so the limit, which callers may raise,
+    bounds the size of the plan.
+    """
     value = quoted(column)
     rows = df.filter(value.isNotNull()).select(value.alias("v")).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
@@ -79,10 +84,9 @@ def classes_of(df: DataFrame, column: str, limit: int = MAX_CLASSES) -> list:
     return sorted(r["v"] for r in rows)
 
 
-def _by_class(df: DataFrame, columns: Sequence[str], by: str):
-    return {
-        (k, c): F.when(quoted(by) == k, quoted(c)) for k in classes_of(df, by) for c in columns
-    }
+def _by_class(df: DataFrame, columns: Sequence[str], by: str, max_classes: int):
+    classes = classes_of(df, by, max_classes)
+    return {(k, c): F.when(quoted(by) == k, quoted(c)) for k in classes for c in columns}
 
 
 def _rows(df: DataFrame, series: Mapping, aggregates, fields) -> DataFrame:
@@ -95,12 +99,12 @@ def _rows(df: DataFrame, series: Mapping, aggregates, fields) -> DataFrame:
     return df.agg(*aggs).select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def box_summary(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+def box_summary(df: DataFrame, columns: Sequence[str], by: str, max_classes: int = MAX_CLASSES) -> DataFrame:
     """Quartiles, whiskers and outliers of each column per class.
 
     A whisker ends at the farthest value within 1.5 interquartile ranges.
     """
-    series = _by_class(df, columns, by)
+    series = _by_class(df, columns, by, max_classes)
     boxes = {k: Fence(*v) for k, v in quantiles(df, {k: x for k, x in series.items()}).items()}
 
     def aggregates(key, x: Column) -> dict[str, Column]:
@@ -129,9 +133,9 @@ def box_summary(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     return _rows(df, series, aggregates, fields)
 
 
-def five_numbers(df: DataFrame, column: str, by: str) -> DataFrame:
+def five_numbers(df: DataFrame, column: str, by: str, max_classes: int = MAX_CLASSES) -> DataFrame:
     """Min, Q1, Median, Q3 and Max of a column per class, one row per figure."""
-    series = _by_class(df, [column], by)
+    series = _by_class(df, [column], by, max_classes)
     q = quantiles(df, series)
 
     def aggregates(key, x: Column) -> dict[str, Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.functions.keys import hash_number
-from riskloom.functions.numeric import half_even
+from riskloom.functions.numeric import half_even, ratio, ratio_or_zero
 from riskloom.operators import clean as C
 from riskloom.operators import evaluate as E
 from riskloom.operators import leaderboard as B
@@ -24,9 +24,13 @@ from riskloom.operators.split import exact_train_test_split, is_test, train_test
 from riskloom.operators.training import (
     FOREST,
     GBT,
+    LGD_GRIDS,
+    LGD_MODELS,
     LOGISTIC,
     OLS,
-    TREE,
+    PD_GRIDS,
+    PD_MODELS,
+    Search,
     fit_default,
     grid_search,
     lgd_scores,
@@ -36,19 +40,18 @@ from riskloom.operators.training import (
     save_model,
     search_table,
 )
-from riskloom.plans.credit_run import Run, credit_run, prepare_training
+from riskloom.plans.credit_run import Prepared, Run, credit_run, prepare_training
 from riskloom.plans.prepare import clean_loans, encoded_loans
 from riskloom.session import scratch_path, stage
-from riskloom.sources.csv_files import join_by_position, read_csv, write_csv
+from riskloom.sources.csv_files import join_by_position, quoted, read_csv, write_csv
 from riskloom.sources.documents import json_text
-from riskloom.sources.tables import SPLIT_SEED, raw_loans, table, with_stand_in_score
+from riskloom.sources.tables import RAW_COLUMNS, SPLIT_SEED, raw_loans, table, with_stand_in_score
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-RAW_NUMBERS = ["funded_amnt", "max_bal_owed", "num_inq", "interest_rate", "bal_to_cred_lim"]
-NUMBERS = [*RAW_NUMBERS]
+NUMBERS = ["funded_amnt", "max_bal_owed", "num_inq", "interest_rate", "bal_to_cred_lim"]
 BOX_COLUMNS = [*NUMBERS, "LGD"]
 
 # Stand-in models: the weight of the outcome in the score, and the hash seed.
@@ -57,22 +60,16 @@ STAND_INS = {"model_a": (300, 42), "model_b": (200, 43), "model_c": (100, 44), "
 # Stand-in severity models: the width of their error, in quarters of a percent.
 SEVERITY_STAND_INS = {"model_a": 21, "model_b": 41, "model_c": 101}
 
-# Small grids for the registered searches; the full ones are the defaults.
-SMALL_PD_GRIDS = {
-    GBT: {"max_depth": [3], "learning_rate": [0.1, 0.25], "n_estimators": [10]},
-    LOGISTIC: {"C": [0.01, 1], "penalty": ["l2"]},
-    FOREST: {"n_estimators": [20], "max_depth": [5, 10]},
-    TREE: {"max_depth": [5, 10]},
-}
-SMALL_LGD_GRIDS = {
-    GBT: {"max_depth": [3], "learning_rate": [0.1, 0.25], "n_estimators": [10]},
-    FOREST: {"n_estimators": [20], "max_depth": [5, 10]},
-    TREE: {"max_depth": [5, 10]},
-}
-QUICK = {
-    GBT: {"n_estimators": 20},
-    FOREST: {"n_estimators": 20, "max_depth": 10},
-    TREE: {"max_depth": 10},
+# Rows of the fits in the registered queries, about: Spark fits a tree level per
+# job, so trees cost the same seconds on few rows, and the scores are of all rows.
+FIT_ROWS = 2_000
+
+# The grids with all their candidates; boosted trees, fitted one after the other,
+# are fewer per candidate than in the defaults of grid_search().
+FEWER_TREES = {"n_estimators": [10, 20]}
+SEARCH_GRIDS = {
+    "pd": {**PD_GRIDS, GBT: {**PD_GRIDS[GBT], **FEWER_TREES}},
+    "lgd": {**LGD_GRIDS, GBT: {**LGD_GRIDS[GBT], **FEWER_TREES}},
 }
 
 
@@ -88,12 +85,17 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in doubles})
 
 
-def clean(spark: SparkSession, folder: str) -> DataFrame:
-    return clean_loans(raw_loans(spark, folder), zero_fill=["max_bal_owed", "num_inq"])
+def clean(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """The cleaned loans: all columns, or the key, the targets and the named ones."""
+    if columns is None:
+        return clean_loans(raw_loans(spark, folder))
+    needed = {"loan_id", "funded_amnt", "max_bal_owed", "y", *columns}
+    raw = raw_loans(spark, folder, [c for c in RAW_COLUMNS if c in needed])
+    return clean_loans(raw, drop=[]).select("loan_id", *columns, "PD", "LGD", "EAD")
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    return with_stand_in_score(clean(spark, folder))
+    return with_stand_in_score(clean(spark, folder, []))
 
 
 def with_loss(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,7 +104,7 @@ def with_loss(spark: SparkSession, folder: str) -> DataFrame:
 
 def model_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Four stand-in models' scores, one row per loan and model."""
-    df = clean(spark, folder).select("loan_id", "PD")
+    df = clean(spark, folder, []).select("loan_id", "PD")
     for m, (signal, seed) in STAND_INS.items():
         df = with_stand_in_score(df, f"p_{m}", signal, seed)
     return E.flagged(
@@ -110,12 +112,16 @@ def model_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def with_severity(loans: DataFrame, width: int, name: str = "lgd_hat") -> DataFrame:
+    h = hash_number(F.col("loan_id"), SPLIT_SEED)
+    return loans.withColumn(name, F.col("LGD") + (h % width - width // 2) / 4)
+
+
 def severity_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Three stand-in models' severities, one row per loan and model."""
-    df = clean(spark, folder).select("loan_id", "LGD")
-    h = hash_number(F.col("loan_id"), SPLIT_SEED)
+    df = clean(spark, folder, []).select("loan_id", "LGD")
     for m, width in SEVERITY_STAND_INS.items():
-        df = df.withColumn(f"l_{m}", F.col("LGD") + (h % width - width // 2) / 4)
+        df = with_severity(df, width, f"l_{m}")
     return B.long_scores(df, {m: {"lgd_hat": f"l_{m}"} for m in SEVERITY_STAND_INS}, ["loan_id", "LGD"])
 
 
@@ -128,7 +134,7 @@ def encoded(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def csv_clean_nulls(spark: SparkSession, folder: str) -> DataFrame:
-    raw = raw_loans(spark, folder)
+    raw = raw_loans(spark, folder, ["loan_id", "purpose", "emp_length", "interest_rate", "num_inq"])
     path = scratch_path(spark, "csv")
     write_csv(
         raw.select(
@@ -149,12 +155,31 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(read_csv(spark, path))
 
 
+@query
+def csv_quoted_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Quotes, commas and outer blanks in cells, numbers at the ends of a bigint and beyond."""
+    raw = raw_loans(spark, folder, ["loan_id", "emp_length", "purpose"])
+    path = scratch_path(spark, "csv")
+    write_csv(
+        raw.select(
+            "loan_id",
+            F.concat(F.lit('  say "'), "emp_length", F.lit('", now ')).alias("note"),
+            F.concat(F.lit('"'), "purpose", F.lit('"')).alias("quoted"),
+            (F.lit(9223372036854775807) - F.col("loan_id")).alias("wide"),
+            F.concat(F.lit("9223372036854775808"), F.col("loan_id").cast("string")).alias("wider"),
+        ),
+        path,
+    )
+    return read_csv(spark, path)
+
+
 @query
 def join_by_row_position(spark: SparkSession, folder: str) -> DataFrame:
-    raw = stage(raw_loans(spark, folder).select("loan_id", "funded_amnt", "y"), "raw")
+    raw = stage(raw_loans(spark, folder, ["loan_id", "funded_amnt", "y"]), "raw")
     x_path, y_path = scratch_path(spark, "x"), scratch_path(spark, "y")
-    write_csv(raw.orderBy("loan_id").select("loan_id", "funded_amnt"), x_path)
-    write_csv(raw.orderBy("loan_id").select("y"), y_path)
+    # Both files are written from the same staged partitions, each in the same order.
+    write_csv(raw.sortWithinPartitions("loan_id").select("loan_id", "funded_amnt"), x_path)
+    write_csv(raw.sortWithinPartitions("loan_id").select("y"), y_path)
     x_type = T.StructType().add("loan_id", T.LongType()).add("funded_amnt", T.DoubleType())
     x = read_csv(spark, x_path, x_type, positions=True)
     y = read_csv(spark, y_path, T.StructType().add("y", T.IntegerType()), positions=True)
@@ -174,7 +199,7 @@ def join_features_target(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def join_ead_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    loans = clean(spark, folder)
+    loans = stage(clean(spark, folder, []).select("loan_id", "PD", "EAD"), "loans")
     _, test = train_test_split(loans.select("loan_id", "PD"))
     return C.lookup(test, loans, "EAD")
 
@@ -190,9 +215,9 @@ def metadata_json(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("double").alias("pd_cv_auc"),
         F.struct(F.lit("8").alias("max_depth"), F.lit("0.1").alias("learning_rate")).alias("pd_best_params"),
         F.lit(0.1).alias("pd_threshold"),
-        half_even(tp / (tp + fp), 3).alias("pd_test_precision"),
-        half_even(tp / (tp + fn), 3).alias("pd_test_recall"),
-        half_even(F.col("l") / F.col("v"), 4).alias("expected_loss_pct"),
+        half_even(ratio_or_zero(tp, tp + fp), 3).alias("pd_test_precision"),
+        half_even(ratio_or_zero(tp, tp + fn), 3).alias("pd_test_recall"),
+        half_even(ratio(F.col("l"), F.col("v")), 4).alias("expected_loss_pct"),
         F.lit(1).alias("positive_class"),
         F.lit("default").alias("positive_label"),
     )
@@ -209,34 +234,35 @@ def drop_leakage(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def drop_high_cardinality(spark: SparkSession, folder: str) -> DataFrame:
-    return C.drop_wide_text(stage(raw_loans(spark, folder), "raw"), 100)
+    texts = raw_loans(spark, folder, ["emp_length", "purpose", "emp_title"])
+    return raw_loans(spark, folder).drop(*C.wide_text_columns(texts, 100))
 
 
 @query
 def rename_target(spark: SparkSession, folder: str) -> DataFrame:
-    raw = raw_loans(spark, folder).select("loan_id", "y")
+    raw = raw_loans(spark, folder, ["loan_id", "y"])
     return C.rename(C.rename(raw, "y", "moroso"), "moroso", "PD")
 
 
 @query
 def fill_zero(spark: SparkSession, folder: str) -> DataFrame:
-    raw = raw_loans(spark, folder).select("loan_id", "max_bal_owed", "num_inq", "interest_rate")
-    return C.fill_zero(raw, ["max_bal_owed", "num_inq"])
+    columns = ["max_bal_owed", "num_inq", "bal_to_cred_lim"]
+    return C.fill_zero(raw_loans(spark, folder, ["loan_id", "interest_rate", *columns]), columns)
 
 
 @query
 def derive_lgd(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(C.derive_lgd(raw_loans(spark, folder).select("loan_id", "max_bal_owed", "funded_amnt")))
+    return rounded(C.derive_lgd(raw_loans(spark, folder, ["loan_id", "max_bal_owed", "funded_amnt"])))
 
 
 @query
 def derive_ead(spark: SparkSession, folder: str) -> DataFrame:
-    return C.derive_ead(raw_loans(spark, folder).select("loan_id", "funded_amnt"))
+    return C.derive_ead(raw_loans(spark, folder, ["loan_id", "funded_amnt"]))
 
 
 @query
 def filter_lgd(spark: SparkSession, folder: str) -> DataFrame:
-    raw = C.fill_zero(raw_loans(spark, folder), ["max_bal_owed"])
+    raw = C.fill_zero(raw_loans(spark, folder, ["loan_id", "max_bal_owed", "funded_amnt"]), ["max_bal_owed"])
     return rounded(C.keep_bounded_lgd(C.derive_lgd(raw)).select("loan_id", "LGD"))
 
 
@@ -263,7 +289,7 @@ def defaulted_only(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def class_subset_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return P.class_table(raw_loans(spark, folder), "y")
+    return P.class_table(raw_loans(spark, folder, ["y"]), "y")
 
 
 @query
@@ -281,28 +307,30 @@ def preview(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def numeric_profile(spark: SparkSession, folder: str) -> DataFrame:
-    raw = stage(raw_loans(spark, folder).select(*RAW_NUMBERS), "raw")
-    return rounded(P.numeric_profile(raw, RAW_NUMBERS), 4)
+    raw = raw_loans(spark, folder)
+    numbers = P.numeric_columns(raw)
+    return rounded(P.numeric_profile(stage(raw.select(*numbers), "raw"), numbers), 4)
 
 
 @query
 def value_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return P.value_counts(raw_loans(spark, folder), "emp_length")
+    return P.value_counts(raw_loans(spark, folder, ["emp_length"]), "emp_length")
 
 
 @query
 def class_value_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return P.value_counts(clean(spark, folder), "PD")
+    return P.value_counts(clean(spark, folder, []), "PD")
 
 
 @query
 def imbalance(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(P.class_balance(raw_loans(spark, folder), "y"))
+    return rounded(P.class_balance(raw_loans(spark, folder, ["y"]), "y"))
 
 
 @query
 def imbalance_by_column(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(P.imbalance_by_column(raw_loans(spark, folder), "y", RAW_NUMBERS))
+    raw = raw_loans(spark, folder)
+    return rounded(P.imbalance_by_column(raw, "y", raw.columns))
 
 
 @query
@@ -317,30 +345,31 @@ def null_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def distinct_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return P.distinct_counts(raw_loans(spark, folder), ["emp_length", "purpose", "emp_title"])
+    texts = ["emp_length", "purpose", "emp_title"]
+    return P.distinct_counts(raw_loans(spark, folder, texts), texts)
 
 
 @query
 def correlation_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder).select(*NUMBERS), "clean")
+    loans = stage(clean(spark, folder, NUMBERS).select(*NUMBERS), "clean")
     return rounded(correlation(loans, NUMBERS))
 
 
 @query
 def box_summary_by_class(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder).select("PD", *BOX_COLUMNS), "clean")
+    loans = stage(clean(spark, folder, NUMBERS).select("PD", *BOX_COLUMNS), "clean")
     return rounded(S.box_summary(loans, BOX_COLUMNS, "PD"))
 
 
 @query
 def five_number_by_class(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder).select("PD", "interest_rate"), "clean")
+    loans = stage(clean(spark, folder, ["interest_rate"]).select("PD", "interest_rate"), "clean")
     return rounded(S.five_numbers(loans, "interest_rate", "PD"))
 
 
 @query
 def quartiles(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder).select(*BOX_COLUMNS), "clean")
+    loans = stage(clean(spark, folder, NUMBERS).select(*BOX_COLUMNS), "clean")
     fences = S.fit_fences(loans, BOX_COLUMNS)
     rows = [(c, f.q1, f.q3) for c, f in fences.items()]
     return rounded(spark.createDataFrame(rows, "column string, q1 double, q3 double"))
@@ -358,7 +387,7 @@ def shape(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def outlier_counts(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder).select(*BOX_COLUMNS), "clean")
+    loans = stage(clean(spark, folder, NUMBERS).select(*BOX_COLUMNS), "clean")
     return rounded(S.outlier_counts(loans, S.fit_fences(loans, BOX_COLUMNS)))
 
 
@@ -373,50 +402,51 @@ def headline(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def iqr_treatment(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder).select("loan_id", *NUMBERS), "clean")
+    loans = stage(clean(spark, folder, NUMBERS).select("loan_id", *NUMBERS), "clean")
     return rounded(S.treat_outliers(loans, S.fit_fences(loans, NUMBERS)))
 
 
 @query
 def one_hot_(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder), "clean")
-    return rounded(one_hot(loans, fit_vocabulary(loans, ["emp_length", "purpose"])))
+    texts = ["emp_length", "purpose"]
+    vocabulary = fit_vocabulary(stage(clean(spark, folder, texts).select(*texts), "texts"), texts)
+    return rounded(one_hot(clean(spark, folder), vocabulary))
 
 
 @query
 def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
-    columns = ["funded_amnt", "max_bal_owed", "num_inq", "bal_to_cred_lim"]
-    loans = stage(clean(spark, folder).select("loan_id", *columns), "clean")
-    train, test = train_test_split(loans)
+    loans = stage(encoded(spark, folder), "encoded")
+    columns = C.feature_columns(loans)
+    train, test = train_test_split(loans.select("loan_id", *columns))
     return rounded(scaled(test, fit_scale(train, columns)))
 
 
 @query
 def train_test_split_(spark: SparkSession, folder: str) -> DataFrame:
-    return clean(spark, folder).select("loan_id", is_test("loan_id").cast("int").alias("test"))
+    return clean(spark, folder, []).select("loan_id", is_test("loan_id").cast("int").alias("test"))
 
 
 @query
 def exact_split(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder).select("loan_id", "PD"), "clean")
+    loans = stage(clean(spark, folder, []).select("loan_id", "PD"), "clean")
     return exact_train_test_split(loans)[1]
 
 
 @query
 def exact_stratified_split(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder).select("loan_id", "PD"), "clean")
+    loans = stage(clean(spark, folder, []).select("loan_id", "PD"), "clean")
     return exact_train_test_split(loans, stratify="PD")[1]
 
 
 @query
 def stratified_folds(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder).select("loan_id", "PD"), "clean")
+    loans = stage(clean(spark, folder, []).select("loan_id", "PD"), "clean")
     return with_folds(loans, 2, stratify="PD")
 
 
 @query
 def plain_folds(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(C.defaulted(clean(spark, folder)).select("loan_id"), "clean")
+    loans = stage(C.defaulted(clean(spark, folder, [])).select("loan_id"), "clean")
     return with_folds(loans, 2)
 
 
@@ -475,18 +505,19 @@ def operating_point(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def choose_threshold(spark: SparkSession, folder: str) -> DataFrame:
-    return E.choose_threshold(E.threshold_sweep(scored(spark, folder)), 0.95)
+    return E.choose_threshold(E.threshold_counts(scored(spark, folder)), 0.95)
 
 
 @query
 def regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    scores = severity_scores(spark, folder).filter(F.col("model") == "model_b")
-    return rounded(E.regression_metrics(scores))
+    loans = clean(spark, folder, []).select("loan_id", "LGD")
+    return rounded(E.regression_metrics(with_severity(loans, SEVERITY_STAND_INS["model_b"])))
 
 
 @query
 def ols_single_feature(spark: SparkSession, folder: str) -> DataFrame:
-    loans = stage(clean(spark, folder).select("LGD", (F.col("max_bal_owed") / 1000).alias("x")), "clean")
+    loans = clean(spark, folder, ["max_bal_owed"]).select("LGD", (F.col("max_bal_owed") / 1000).alias("x"))
+    loans = stage(loans, "clean")
     vectors = VectorAssembler(inputCols=["x"], outputCol="features").transform(loans)
     model = regressor(OLS).fit(vectors)
     return rounded(
@@ -553,6 +584,7 @@ def expected_loss_summary(spark: SparkSession, folder: str) -> DataFrame:
         F.round("portfolio_value", 2).alias("portfolio_value"),
         F.round("expected_loss", 2).alias("expected_loss"),
         F.round("expected_loss_pct", 6).alias("expected_loss_pct"),
+        "unscored",
     )
 
 
@@ -576,95 +608,181 @@ def top_risk_loans(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(X.riskiest(with_loss(spark, folder)))
 
 
-# Models: checked by their row counts and in the tests
+# Models. SQL cannot fit them, so these queries return what it can decide about the
+# fitted models' results: whose they are, how many, in which range and order.
+
+_fitted: dict[tuple, object] = {}
+
+
+def shared(spark: SparkSession, folder: str, name: str, make: Callable[[], object]):
+    """What several queries need of the same fits, made once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _fitted:
+        _fitted[key] = make()
+    return _fitted[key]
 
 
-def training_data(spark: SparkSession, folder: str):
-    return prepare_training(encoded(spark, folder))
+def training_data(spark: SparkSession, folder: str) -> Prepared:
+    return shared(spark, folder, "data", lambda: prepare_training(encoded(spark, folder)))
 
 
-def quick_run(spark: SparkSession, folder: str, **options) -> Run:
-    """Both models with few trees, for the queries about what follows a fit."""
-    return credit_run(
-        encoded(spark, folder),
-        search=False,
-        pd_models=[GBT],
-        lgd_models=[FOREST],
-        params=QUICK,
-        **options,
+def quick_run(spark: SparkSession, folder: str) -> Run:
+    """A run without boosted trees, which take longest."""
+    models = {"pd_models": [LOGISTIC, FOREST], "lgd_models": [OLS, FOREST]}
+    return credit_run(encoded(spark, folder), search=False, max_fit_rows=FIT_ROWS, **models)
+
+
+def whole_run(spark: SparkSession, folder: str) -> Run:
+    """All families with their default parameters."""
+
+    def make() -> Run:
+        return credit_run(encoded(spark, folder), search=False, max_fit_rows=FIT_ROWS)
+
+    return shared(spark, folder, "run", make)
+
+
+def searched(spark: SparkSession, folder: str, kind: str) -> dict[str, Search]:
+    def make() -> dict[str, Search]:
+        data = training_data(spark, folder)
+        train = data.pd_train if kind == "pd" else data.lgd_train
+        return grid_search(train, kind, SEARCH_GRIDS[kind], max_fit_rows=FIT_ROWS)
+
+    return shared(spark, folder, f"search-{kind}", make)
+
+
+def _sorted_by(board: DataFrame, measure: str, largest: bool) -> bool:
+    """Whether the few rows of a leaderboard stand in order."""
+    values = [r[measure] for r in board.collect()]
+    return values == sorted(values, reverse=largest)
+
+
+def _pd_checked(scores: DataFrame) -> DataFrame:
+    ordered = _sorted_by(B.pd_leaderboard(scores), "roc_auc", True)
+    return scores.groupBy("model").agg(
+        F.count(F.lit(1)).alias("loans"),
+        F.sum("PD").cast("bigint").alias("defaults"),
+        F.bool_and(F.col("p").between(0, 1)).alias("in_range"),
+        F.bool_and(F.col("flag").isin(0, 1)).alias("classes"),
+        F.lit(ordered).alias("board_in_order"),
+    )
+
+
+def _lgd_checked(scores: DataFrame) -> DataFrame:
+    board = B.lgd_leaderboard(scores)
+    ordered = _sorted_by(board, "mae", False)
+    loans = scores.groupBy("model").agg(F.count("lgd_hat").alias("loans"))
+    checked = board.select("model", (F.col("mae") <= F.col("rmse")).alias("errors_consistent"))
+    return loans.join(checked, "model").withColumn("board_in_order", F.lit(ordered))
+
+
+def _search_checked(train: DataFrame, found: dict[str, Search]) -> DataFrame:
+    return search_table(train, found).select(
+        "model",
+        "candidates",
+        F.size(F.map_keys("best_params")).alias("dimensions"),
+        (F.col("cv_score") >= 0).alias("has_score"),
     )
 
 
 @query
 def pd_baseline(spark: SparkSession, folder: str) -> DataFrame:
     data = training_data(spark, folder)
-    scores = pd_scores(fit_default(data.pd_train, "pd"), data.pd_test, ["loan_id", "PD"])
-    return B.pd_leaderboard(stage(scores, "scores"))
+    models = fit_default(data.pd_train, "pd", max_fit_rows=FIT_ROWS)
+    return _pd_checked(stage(pd_scores(models, data.pd_test, ["loan_id", "PD"]), "scores"))
 
 
 @query
 def pd_grid_search(spark: SparkSession, folder: str) -> DataFrame:
-    train = training_data(spark, folder).pd_train
-    return search_table(train, grid_search(train, "pd", SMALL_PD_GRIDS))
+    return _search_checked(training_data(spark, folder).pd_train, searched(spark, folder, "pd"))
 
 
 @query
 def pd_final(spark: SparkSession, folder: str) -> DataFrame:
-    data = training_data(spark, folder)
-    models = {n: s.model for n, s in grid_search(data.pd_train, "pd", SMALL_PD_GRIDS).items()}
-    scores = stage(pd_scores(models, data.pd_test, ["loan_id", "PD"]), "scores")
+    models = {n: s.model for n, s in searched(spark, folder, "pd").items()}
+    test = training_data(spark, folder).pd_test
+    scores = stage(pd_scores(models, test, ["loan_id", "PD"]), "scores")
     report = E.classification_report(scores, by=["model"])
-    cells = E.confusion(scores, by=["model"])
-    return report.join(cells, "model").join(E.roc_auc(scores, by=["model"]), "model")
+    cells = E.confusion(scores, by=["model"]).select("model", (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("loans"))
+    areas = E.roc_auc(scores, by=["model"]).select("model", F.col("roc_auc").between(0, 1).alias("area_in_range"))
+    return report.select("model", "row", "support").join(cells, "model").join(areas, "model")
 
 
 @query
 def lgd_baseline(spark: SparkSession, folder: str) -> DataFrame:
     data = training_data(spark, folder)
-    scores = lgd_scores(fit_default(data.lgd_train, "lgd"), data.lgd_test, ["loan_id", "LGD"])
-    return B.lgd_leaderboard(scores)
+    models = fit_default(data.lgd_train, "lgd", max_fit_rows=FIT_ROWS)
+    return _lgd_checked(stage(lgd_scores(models, data.lgd_test, ["loan_id", "LGD"]), "scores"))
 
 
 @query
 def lgd_grid_search(spark: SparkSession, folder: str) -> DataFrame:
-    train = training_data(spark, folder).lgd_train
-    return search_table(train, grid_search(train, "lgd", SMALL_LGD_GRIDS))
+    return _search_checked(training_data(spark, folder).lgd_train, searched(spark, folder, "lgd"))
 
 
 @query
 def lgd_final(spark: SparkSession, folder: str) -> DataFrame:
     data = training_data(spark, folder)
-    models = fit_default(data.lgd_train, "lgd", [OLS])
-    models |= {n: s.model for n, s in grid_search(data.lgd_train, "lgd", SMALL_LGD_GRIDS).items()}
-    return B.lgd_leaderboard(lgd_scores(models, data.lgd_test, ["loan_id", "LGD"]))
+    models = fit_default(data.lgd_train, "lgd", [OLS], max_fit_rows=FIT_ROWS)
+    models |= {n: s.model for n, s in searched(spark, folder, "lgd").items()}
+    return _lgd_checked(stage(lgd_scores(models, data.lgd_test, ["loan_id", "LGD"]), "scores"))
 
 
 @query
 def score_portfolio_(spark: SparkSession, folder: str) -> DataFrame:
-    return quick_run(spark, folder).scored
+    scored_loans = whole_run(spark, folder).scored
+    return rounded(
+        scored_loans.select(
+            "loan_id",
+            "PD",
+            "LGD",
+            "EAD",
+            F.col("p").between(0, 1).alias("p_in_range"),
+            F.col("lgd_hat").isNotNull().alias("has_severity"),
+            (F.col("el") <= F.col("EAD") * F.col("p") + 1e-9).alias("el_bounded"),
+        )
+    )
 
 
 @query
 def expected_loss_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
-    return quick_run(spark, folder).summary
+    run = whole_run(spark, folder)
+    total = run.scored.agg(F.sum("el").alias("t"))
+    return run.summary.crossJoin(F.broadcast(total)).select(
+        F.round("portfolio_value", 2).alias("portfolio_value"),
+        "unscored",
+        (F.abs(F.col("expected_loss") - F.col("t")) < 0.01).alias("loss_is_the_sum"),
+        F.col("expected_loss_pct").between(0, 1).alias("share_in_range"),
+    )
 
 
 @query
 def run_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    run = credit_run(encoded(spark, folder), pd_grids=SMALL_PD_GRIDS, lgd_grids=SMALL_LGD_GRIDS)
-    return json_text(run.metadata)
+    meta = whole_run(spark, folder).metadata
+    return meta.select(
+        F.col("pd_model").isin(PD_MODELS).alias("pd_family"),
+        F.col("lgd_model").isin(LGD_MODELS).alias("lgd_family"),
+        "trained_on",
+        "dataset",
+        "pd_threshold",
+        "portfolio_value",
+        "positive_class",
+        "positive_label",
+        "max_fit_rows",
+    )
 
 
 @query
 def model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Scores of a saved and re-loaded model next to those of the fitted one."""
+    """Per test loan, the families whose saved and re-loaded model scores as the fitted one."""
     data = training_data(spark, folder)
-    fitted = fit_default(data.pd_train, "pd", [TREE], QUICK)[TREE]
-    model = PipelineModel([*data.pd_features.stages, fitted])
-    path = scratch_path(spark, "model")
-    save_model(model, path)
-    again = load_model(path)
-    first = model.transform(data.test).select(
-        *data.test.columns, vector_to_array("probability")[1].alias("p_fitted")
-    )
-    return again.transform(first).select("loan_id", "p_fitted", vector_to_array("probability")[1].alias("p_loaded"))
+    out, same = data.test, []
+    for i, (_, search) in enumerate(searched(spark, folder, "pd").items()):
+        model = PipelineModel([*data.pd_features.stages, search.model])
+        path = scratch_path(spark, "model")
+        save_model(model, path)
+        own = [quoted(c) for c in out.columns]
+        for name, m in ((f"_fit{i}", model), (f"_load{i}", load_model(path))):
+            out = m.transform(out).select(*own, vector_to_array("probability")[1].alias(name))
+            own = [quoted(c) for c in out.columns]
+        same.append((F.col(f"_fit{i}") == F.col(f"_load{i}")).cast("int"))
+    return out.select("loan_id", sum(same).alias("equal_families"))

@@ -9,14 +9,23 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.functions.numeric import half_even
+from riskloom.functions.numeric import count_where, half_even
 from riskloom.operators.clean import defaulted, feature_columns
-from riskloom.operators.evaluate import OPERATING_THRESHOLD, binary_metrics, flagged
+from riskloom.operators.evaluate import (
+    OPERATING_THRESHOLD,
+    binary_metrics,
+    classification_report,
+    confusion,
+    flagged,
+    flagged_against_actual,
+    threshold_sweep,
+)
 from riskloom.operators.leaderboard import best_model, lgd_leaderboard, pd_leaderboard
 from riskloom.operators.loss import expected_loss, loss_summary
 from riskloom.operators.scale import fit_scale
-from riskloom.operators.split import train_test_split
+from riskloom.operators.split import exact_train_test_split, train_test_split
 from riskloom.operators.training import (
+    FIT_PARTITIONS,
     LGD_MODELS,
     OLS,
     PD_MODELS,
@@ -29,6 +38,7 @@ from riskloom.operators.training import (
     score_portfolio,
 )
 from riskloom.session import stage
+from riskloom.sources.csv_files import quoted
 
 
 @dataclass(frozen=True)
@@ -47,41 +57,68 @@ class Prepared:
 
 @dataclass(frozen=True)
 class Run:
-    """The chosen models, the scored test loans and the documents about them."""
+    """The chosen models, the scored test loans and the documents about them.
+
+    The base boards are those of the default parameters; with a search the
+    boards are those of the tuned models, without one they are the base boards.
+    ``pd_report`` and ``pd_confusion`` have a part per model; ``flagged`` sets
+    the loans flagged at the operating point against the defaulted ones.
+    """
 
     pd_model: PipelineModel
     lgd_model: PipelineModel
+    pd_base_board: DataFrame
+    lgd_base_board: DataFrame
     pd_board: DataFrame
     lgd_board: DataFrame
+    pd_report: DataFrame
+    pd_confusion: DataFrame
     scored: DataFrame
+    sweep: DataFrame
+    flagged: DataFrame
     summary: DataFrame
     metadata: DataFrame
 
 
-def prepare_training(encoded: DataFrame, key: str = "loan_id", seed: int = 42) -> Prepared:
+def prepare_training(
+    encoded: DataFrame,
+    key: str = "loan_id",
+    seed: int = 42,
+    fill: Mapping[str, float] | None = None,
+    exact: bool = False,
+    stratify: str | None = None,
+) -> Prepared:
     """Split once by key, for both models, and write the feature vectors.
 
-    The vectors are read by every fit, so they are staged; features a model
-    cannot take as missing are set to 0 before.
+    The vectors are read by every fit, so they are staged. ``fill`` gives values
+    for missing cells of named features; a feature that still has some is an
+    error, since no model can take them. ``exact`` takes exactly a fifth of the
+    loans as test loans, of each class of ``stratify`` if it is given; without
+    it every loan is drawn by itself, which needs no pass over the data.
     """
     columns = feature_columns(encoded, (key, "PD", "LGD", "EAD"))
-    loans = stage(encoded.fillna(0, subset=columns), "encoded")
-    train, test = train_test_split(loans, key, seed)
+    loans = stage(encoded.fillna(dict(fill)) if fill else encoded, "encoded")
+    missing = loans.agg(*[count_where(quoted(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    open_ = [f"{c} ({missing[i]})" for i, c in enumerate(columns) if missing[i]]
+    if open_:
+        raise ValueError(f"missing cells in {', '.join(open_)}; give a fill value or drop the rows")
+    if exact or stratify:
+        train, test = exact_train_test_split(loans, key, seed, stratify=stratify)
+    else:
+        train, test = train_test_split(loans, key, seed)
     pd_features = assemble(columns, fit_scale(train, columns))
     lgd_features = assemble(columns)
 
     def vectors(features: PipelineModel, df: DataFrame, label: str) -> DataFrame:
         return features.transform(df).select(key, label, "features")
 
-    pd_all = stage(pd_features.transform(loans).select(key, "PD", "features"), "pd-vectors")
-    pd_train, pd_test = train_test_split(pd_all, key, seed)
     return Prepared(
         train,
         test,
         pd_features,
         lgd_features,
-        pd_train,
-        pd_test,
+        stage(vectors(pd_features, train, "PD"), "pd-train"),
+        stage(vectors(pd_features, test, "PD"), "pd-test"),
         stage(vectors(lgd_features, defaulted(train), "LGD"), "lgd-train"),
         vectors(lgd_features, defaulted(test), "LGD"),
     )
@@ -105,33 +142,44 @@ def credit_run(
     params: Mapping[str, Mapping] | None = None,
     search: bool = True,
     select_by: str = "test",
+    thresholds: Sequence[float] | None = None,
     threshold: float = OPERATING_THRESHOLD,
     dataset: str = "loans",
+    fill: Mapping[str, float] | None = None,
+    exact: bool = False,
+    stratify: str | None = None,
+    max_fit_rows: int | None = None,
+    partitions: int = FIT_PARTITIONS,
 ) -> Run:
     """The whole run. ``search=False`` takes default parameters instead of the grids."""
-    data = prepare_training(encoded, key, seed)
+    data = prepare_training(encoded, key, seed, fill, exact, stratify)
+    fitting = {"seed": seed, "key": key, "partitions": partitions, "max_fit_rows": max_fit_rows}
     pd_searches: dict[str, Search] = {}
     lgd_searches: dict[str, Search] = {}
+    pd_fitted = pd_base = fit_default(data.pd_train, "pd", pd_models, params, **fitting)
+    lgd_fitted = lgd_base = fit_default(data.lgd_train, "lgd", lgd_models, params, **fitting)
+    pd_test = stage(pd_scores(pd_base, data.pd_test, [key, "PD"]), "pd-scores")
+    lgd_test = stage(lgd_scores(lgd_base, data.lgd_test, [key, "LGD"]), "lgd-scores")
+    pd_base_board, lgd_base_board = pd_leaderboard(pd_test), lgd_leaderboard(lgd_test)
+    pd_board, lgd_board = pd_base_board, lgd_base_board
     if search:
-        pd_searches = grid_search(data.pd_train, "pd", pd_grids, seed=seed, key=key)
-        lgd_searches = grid_search(data.lgd_train, "lgd", lgd_grids, seed=seed, key=key)
+        pd_searches = grid_search(data.pd_train, "pd", pd_grids, **fitting)
+        lgd_searches = grid_search(data.lgd_train, "lgd", lgd_grids, **fitting)
         pd_fitted = {n: s.model for n, s in pd_searches.items()}
-        lgd_fitted = fit_default(data.lgd_train, "lgd", [OLS], seed=seed)
+        lgd_fitted = {n: m for n, m in lgd_base.items() if n == OLS} or fit_default(
+            data.lgd_train, "lgd", [OLS], **fitting
+        )
         lgd_fitted |= {n: s.model for n, s in lgd_searches.items()}
-    else:
-        pd_fitted = fit_default(data.pd_train, "pd", pd_models, params, seed)
-        lgd_fitted = fit_default(data.lgd_train, "lgd", lgd_models, params, seed)
-
-    pd_test = stage(pd_scores(pd_fitted, data.pd_test, [key, "PD"]), "pd-scores")
-    lgd_test = stage(lgd_scores(lgd_fitted, data.lgd_test, [key, "LGD"]), "lgd-scores")
-    pd_board, lgd_board = pd_leaderboard(pd_test), lgd_leaderboard(lgd_test)
+        pd_test = stage(pd_scores(pd_fitted, data.pd_test, [key, "PD"]), "pd-scores")
+        lgd_test = stage(lgd_scores(lgd_fitted, data.lgd_test, [key, "LGD"]), "lgd-scores")
+        pd_board, lgd_board = pd_leaderboard(pd_test), lgd_leaderboard(lgd_test)
     pd_name = _choose(pd_board, "roc_auc", True, PD_MODELS, pd_searches, select_by)
     lgd_name = _choose(lgd_board, "mae", False, LGD_MODELS, lgd_searches, select_by)
 
     pd_model = PipelineModel([*data.pd_features.stages, pd_fitted[pd_name]])
     lgd_model = PipelineModel([*data.lgd_features.stages, lgd_fitted[lgd_name]])
-    scored = expected_loss(score_portfolio_on(data.test, pd_model, lgd_model, key))
-    scored = stage(scored, "scored")
+    keep = [key, "PD", "LGD", "EAD"]
+    scored = stage(expected_loss(score_portfolio(data.test, pd_model, lgd_model, keep)), "scored")
     summary = loss_summary(scored)
 
     pd_search, lgd_search = pd_searches.get(pd_name), lgd_searches.get(lgd_name)
@@ -147,12 +195,23 @@ def credit_run(
         lgd_board.filter(F.col("model") == lgd_name),
         summary,
         dataset,
+        max_fit_rows,
+    )
+    return Run(
+        pd_model,
+        lgd_model,
+        pd_base_board,
+        lgd_base_board,
+        pd_board,
+        lgd_board,
+        classification_report(pd_test, by=["model"]),
+        confusion(pd_test, by=["model"]),
+        scored,
+        threshold_sweep(scored, thresholds),
+        flagged_against_actual(flagged(scored, "p", threshold)),
+        summary,
+        metadata,
     )
-    return Run(pd_model, lgd_model, pd_board, lgd_board, scored, summary, metadata)
-
-
-def score_portfolio_on(test: DataFrame, pd_model: PipelineModel, lgd_model: PipelineModel, key: str) -> DataFrame:
-    return score_portfolio(test, pd_model, lgd_model, [key, "PD", "LGD", "EAD"])
 
 
 def run_metadata(
@@ -166,8 +225,10 @@ def run_metadata(
     lgd_row: DataFrame,
     summary: DataFrame,
     dataset: str,
+    max_fit_rows: int | None = None,
 ) -> DataFrame:
     """The one-row document of a run, with its figures rounded half to even."""
+    # The names of the document's fields, max_fit_rows and spark_version apart.
     spark = point.sparkSession
 
     def params(p: Mapping):
@@ -201,5 +262,6 @@ def run_metadata(
         half_even(F.col("expected_loss_pct"), 4).alias("expected_loss_pct"),
         F.lit(1).alias("positive_class"),
         F.lit("default").alias("positive_label"),
+        F.lit(max_fit_rows).cast("bigint").alias("max_fit_rows"),
         F.lit(spark.version).alias("spark_version"),
     )

@@ -11,9 +11,9 @@ from riskloom.operators import spread as S
 from riskloom.operators.clean import join_by_key
 from riskloom.operators.correlate import correlation
 from riskloom.operators.training import save_model
-from riskloom.plans.credit_run import Run, credit_run
+from riskloom.plans.credit_run import credit_run
 from riskloom.plans.prepare import clean_loans, encoded_loans
-from riskloom.session import stage
+from riskloom.session import stage, staging
 from riskloom.sources.csv_files import (
     join_by_position,
     quoted,
@@ -40,13 +40,14 @@ def load_raw(spark: SparkSession, features: str, target: str, key: str | None =
     return join_by_position(x, y).withColumnRenamed("row_position", KEY)
 
 
-def prepare_job(spark: SparkSession, features: str, target: str, out: str, key: str | None = None) -> DataFrame:
-    """Clean and encode the raw files and write the table to ``out``."""
-    raw = load_raw(spark, features, target, key)
-    drop = [c for c in ("emp_title",) if c in raw.columns]
-    encoded = encoded_loans(stage(clean_loans(raw, drop=drop), "clean"), KEY)
-    write_csv(encoded, out)
-    return encoded
+def prepare_job(
+    spark: SparkSession, features: str, target: str, out: str, key: str | None = None, **encoding
+) -> None:
+    """Clean and encode the raw files and write the table to ``out``; options as of :func:`encoded_loans`."""
+    with staging(spark):
+        raw = load_raw(spark, features, target, key)
+        drop = [c for c in ("emp_title",) if c in raw.columns]
+        write_csv(encoded_loans(stage(clean_loans(raw, drop=drop), "clean"), KEY, **encoding), out)
 
 
 def load_cleaned(spark: SparkSession, path: str) -> DataFrame:
@@ -60,43 +61,53 @@ def load_cleaned(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns({c: quoted(c).cast("int") for c in truths})
 
 
-def profile_job(spark: SparkSession, path: str, out: str) -> dict[str, DataFrame]:
-    """The descriptive tables of a cleaned table, each written to its own folder."""
-    loans = stage(load_cleaned(spark, path), "profile")
-    numbers = [c for c in P.numeric_columns(loans, P.TARGETS) if c != KEY]
-    tables = {
-        "profile": P.numeric_profile(loans, numbers),
-        "nulls": P.null_counts(loans),
-        "info": P.table_info(loans),
-        "classes": P.class_table(loans, "PD"),
-        "correlation": correlation(loans, numbers),
-        "boxes": S.box_summary(loans, numbers, "PD"),
-        "outliers": S.outlier_counts(loans, S.fit_fences(loans, numbers)),
-    }
-    for name, df in tables.items():
-        write_csv(df, f"{out}/{name}")
-    return tables
+def profile_job(spark: SparkSession, path: str, out: str) -> list[str]:
+    """The descriptive tables of a cleaned table, each written to its own folder; returns their names."""
+    with staging(spark):
+        loans = stage(load_cleaned(spark, path), "profile")
+        numbers = [c for c in P.numeric_columns(loans, P.TARGETS) if c != KEY]
+        others = [c for c in loans.columns if c != KEY]
+        tables = {
+            "profile": P.numeric_profile(loans, numbers),
+            "nulls": P.null_counts(loans),
+            "null_rates": P.null_rates(loans),
+            "info": P.table_info(loans),
+            "classes": P.class_table(loans, "PD"),
+            "class_counts": P.value_counts(loans, "PD"),
+            "distinct": P.distinct_counts(loans, others),
+            "imbalance": P.imbalance_by_column(loans, "PD", others),
+            "correlation": correlation(loans, numbers),
+            "boxes": S.box_summary(loans, numbers, "PD"),
+            "outliers": S.outlier_counts(loans, S.fit_fences(loans, numbers)),
+        }
+        for name, df in tables.items():
+            write_csv(df, f"{out}/{name}")
+        return list(tables)
 
 
-def run_job(spark: SparkSession, path: str, out: str, **options) -> Run:
-    """Train on a cleaned table; write boards, sweep, scores, models and the run document."""
-    run = credit_run(load_cleaned(spark, path), KEY, **options)
-    tables = {
-        "pd_board": run.pd_board,
-        "lgd_board": run.lgd_board,
-        "thresholds": E.threshold_sweep(run.scored),
-        "roc": E.roc_on_grid(run.scored),
-        "summary": run.summary,
-        "composition": X.composition(run.scored),
-        "histogram": S.histogram(run.scored, "el"),
-        "riskiest": X.riskiest(run.scored),
-    }
-    for name, df in tables.items():
-        write_csv(df, f"{out}/{name}")
-    run.scored.select(F.col(KEY), "PD", "LGD", "EAD", "p", "lgd_hat", "el").write.mode("overwrite").parquet(
-        f"{out}/scored"
-    )
-    write_document(run.metadata, f"{out}/metadata")
-    save_model(run.pd_model, f"{out}/pd_model")
-    save_model(run.lgd_model, f"{out}/lgd_model")
-    return run
+def run_job(spark: SparkSession, path: str, out: str, **options) -> None:
+    """Train on a cleaned table; write boards, reports, sweep, scores, models and the run document."""
+    with staging(spark):
+        run = credit_run(load_cleaned(spark, path), KEY, **options)
+        tables = {
+            "pd_base_board": run.pd_base_board,
+            "lgd_base_board": run.lgd_base_board,
+            "pd_board": run.pd_board,
+            "lgd_board": run.lgd_board,
+            "pd_report": run.pd_report,
+            "pd_confusion": run.pd_confusion,
+            "thresholds": run.sweep,
+            "flagged": run.flagged,
+            "roc": E.roc_on_grid(run.scored),
+            "summary": run.summary,
+            "composition": X.composition(run.scored),
+            "histogram": S.histogram(run.scored, "el"),
+            "riskiest": X.riskiest(run.scored),
+        }
+        for name, df in tables.items():
+            write_csv(df, f"{out}/{name}")
+        scored = run.scored.select(F.col(KEY), "PD", "LGD", "EAD", "p", "lgd_hat", "el")
+        scored.write.mode("overwrite").parquet(f"{out}/scored")
+        write_document(run.metadata, f"{out}/metadata")
+        save_model(run.pd_model, f"{out}/pd_model")
+        save_model(run.lgd_model, f"{out}/lgd_model")

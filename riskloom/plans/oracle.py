@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from riskloom.plans.catalog import (
     BOX_COLUMNS,
+    FIT_ROWS,
+    SEARCH_GRIDS,
     NUMBERS,
-    RAW_NUMBERS,
     SEVERITY_STAND_INS,
     STAND_INS,
 )
+from riskloom.operators.training import LGD_MODELS, PD_MODELS
+from riskloom.sources.tables import RAW_COLUMNS
 
 
 def _hash(seed: int, digits: int = 8) -> str:
@@ -27,12 +30,12 @@ raw as (
          c_acctbal as bal_to_cred_lim, o_orderpriority as emp_length,
          c_mktsegment as purpose, c_name as emp_title,
          cast(l.n_returned as bigint) as princ_rec,
-         case when 10 * l.n_returned >= 6 * l.num_inq then 1 else 0 end as y
-  from orders join customer on c_custkey = o_custkey
+         cast(case when 10 * l.n_returned >= 6 * l.num_inq then 1 else 0 end as integer) as y
+  from orders left join customer on c_custkey = o_custkey
        left join l on l_orderkey = o_orderkey),
 filled as (
   select loan_id, funded_amnt, coalesce(max_bal_owed, 0) as max_bal_owed,
-         coalesce(num_inq, 0) as num_inq, interest_rate, bal_to_cred_lim,
+         coalesce(num_inq, 0) as num_inq, interest_rate, coalesce(bal_to_cred_lim, 0) as bal_to_cred_lim,
          emp_length, purpose, y as PD,
          100 * coalesce(max_bal_owed, 0) / nullif(funded_amnt, 0) as LGD,
          funded_amnt as EAD
@@ -168,11 +171,8 @@ def _iqr_column(c: str) -> str:
     )
 
 
-SCALED = ["funded_amnt", "max_bal_owed", "num_inq", "bal_to_cred_lim"]
-RAW_COLUMNS = [
-    "loan_id", "funded_amnt", "max_bal_owed", "num_inq", "interest_rate", "bal_to_cred_lim",
-    "emp_length", "purpose", "emp_title", "princ_rec", "y",
-]
+DUMMIES = [f"{c}_{v}" for c, vs in LEVELS.items() for v in vs]
+RAW_NUMBERS = [c for c in RAW_COLUMNS if c not in ("emp_length", "purpose", "emp_title")]
 TYPE_NAMES = (
     "case column_type when 'DOUBLE' then 'double' when 'BIGINT' then 'bigint' "
     "when 'INTEGER' then 'int' else 'string' end"
@@ -193,6 +193,29 @@ def _described() -> str:
     return f", described as ({names})"
 
 
+KIND = (
+    "case when \"column\" in ('PD', 'LGD', 'EAD') then 'target' "
+    "when column_type = 'VARCHAR' then 'text' else 'numeric' end"
+)
+
+
+def _models(names: list[str]) -> str:
+    return ", models as (select unnest([" + ", ".join(f"'{n}'" for n in names) + "]) as model)"
+
+
+def _candidates(kind: str) -> str:
+    rows = []
+    for name, grid in SEARCH_GRIDS[kind].items():
+        size = 1
+        for values in grid.values():
+            size *= len(values)
+        rows.append(
+            f"select '{name}' as model, cast({size} as integer) as candidates, "
+            f"cast({len(grid)} as integer) as dimensions, true as has_score"
+        )
+    return _union(rows)
+
+
 def _split_cut(share: str) -> str:
     return f"ceil(cast({share} as double) * n)"
 
@@ -203,6 +226,9 @@ ORACLE: dict[str, str] = {
 select loan_id, case when purpose = 'BUILDING' then null else emp_length end as emp_length,
        interest_rate, num_inq from raw""",
     "csv_round_trip": BASE + ONE_HOT.format(kind="bigint").replace(" PD,", " cast(PD as bigint) as PD,"),
+    "csv_quoted_text": BASE + """
+select loan_id, '  say "' || emp_length || '", now ' as note, '"' || purpose || '"' as quoted,
+       9223372036854775807 - loan_id as wide, '9223372036854775808' || cast(loan_id as varchar) as wider from raw""",
     "join_by_row_position": BASE + "select loan_id, funded_amnt, y from raw",
     "join_features_target": """
 select coalesce(o_orderkey, l_orderkey) as loan_id, o_totalprice as funded_amnt, y
@@ -223,16 +249,17 @@ from figures""",
     "drop_high_cardinality": BASE + "select " + ", ".join(c for c in RAW_COLUMNS if c != "emp_title") + " from raw",
     "rename_target": BASE + "select loan_id, y as PD from raw",
     "fill_zero": BASE + """
-select loan_id, coalesce(max_bal_owed, 0) as max_bal_owed, coalesce(num_inq, 0) as num_inq, interest_rate from raw""",
+select loan_id, coalesce(max_bal_owed, 0) as max_bal_owed, coalesce(num_inq, 0) as num_inq, interest_rate,
+       coalesce(bal_to_cred_lim, 0) as bal_to_cred_lim from raw""",
     "derive_lgd": BASE + """
 select loan_id, max_bal_owed, funded_amnt, round(100 * max_bal_owed / nullif(funded_amnt, 0), 6) as LGD from raw""",
     "derive_ead": BASE + "select loan_id, funded_amnt, funded_amnt as EAD from raw",
     "filter_lgd": BASE + "select loan_id, round(LGD, 6) as LGD from filled where LGD < 300",
     "cleaned_table": BASE + f"select {CLEAN_COLUMNS} from clean",
-    "columns_by_kind": BASE + _described() + f"""
-select position, "column", {TYPE_NAMES} as type,
-       case when "column" in ('PD', 'LGD', 'EAD') then 'target'
-            when column_type = 'VARCHAR' then 'text' else 'numeric' end as kind from described""",
+    "columns_by_kind": BASE + _described() + ", n as (" + _union(
+        f"select '{c}' as \"column\", count({c}) as non_null from clean" for c in CLEAN_NAMES
+    ) + f""") select position, "column", {TYPE_NAMES} as type, {KIND} as kind, non_null
+from described join n using ("column")""",
     "feature_label_select": BASE + """
 select loan_id, PD as label, funded_amnt, max_bal_owed, num_inq, interest_rate, bal_to_cred_lim,
        emp_length, purpose from clean""",
@@ -263,7 +290,7 @@ select count(*) filter (where y = 1) as positives, count(*) filter (where y = 0)
     "imbalance_by_column": BASE + _union(
         f"select '{c}' as \"column\", round(100 * (cast(count({c}) filter (where y = 1) as double) "
         f"/ nullif(count({c}) filter (where y = 0), 0)), 6) as imbalance_ratio_pct from raw"
-        for c in RAW_NUMBERS
+        for c in RAW_COLUMNS
     ),
     "null_counts": BASE + "select * from (" + _union(
         f"select '{c}' as \"column\", count(*) filter (where {c} is null) as nulls from raw" for c in RAW_COLUMNS
@@ -307,7 +334,8 @@ select count(*) filter (where y = 1) as positives, count(*) filter (where y = 0)
     ),
     "table_info": BASE + _described() + ", n as (" + _union(
         f"select '{c}' as \"column\", count({c}) as non_null from clean" for c in CLEAN_NAMES
-    ) + f""") select position, "column", non_null, {TYPE_NAMES} as type from described join n using ("column")""",
+    ) + f""") select position, "column", non_null, {TYPE_NAMES} as type, {KIND} as kind
+from described join n using ("column")""",
     "shape": BASE + f'select count(*) as rows, cast({len(CLEAN_NAMES)} as bigint) as columns from clean',
     "outlier_counts": BASE + _union(
         f"select '{c}' as \"column\", round(q1, 6) as q1, round(q3, 6) as q3, "
@@ -322,11 +350,14 @@ select count(*) as total_loans, cast(7 as bigint) as features, round(avg(PD), 6)
     "iqr_treatment": BASE + "select loan_id, " + ", ".join(_iqr_column(c) for c in NUMBERS) + " from clean, "
     + ", ".join(f"{_quartiles(f'cast({c} as double)')} as q_{c}" for c in NUMBERS),
     "one_hot": BASE + ONE_HOT.format(kind="integer"),
-    "standard_scale": BASE + ", m as (select " + ", ".join(
-        f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in SCALED
-    ) + " from hashed where h % 5 <> 0) select loan_id, " + ", ".join(
-        f"round(({c} - m_{c}) / s_{c}, 6) as {c}" for c in SCALED
-    ) + " from hashed, m where h % 5 = 0",
+    "standard_scale": BASE + ", enc as (" + ONE_HOT.format(kind="integer") + f""")
+, e as (select *, {_hash(42)} % 5 as fifth from enc)
+, m as (select """ + ", ".join(
+        f"avg(\"{c}\") as m{i}, stddev_pop(\"{c}\") as s{i}" for i, c in enumerate([*NUMBERS, *DUMMIES])
+    ) + " from e where fifth <> 0) select loan_id, " + ", ".join(
+        f"round((\"{c}\" - m{i}) / case when s{i} = 0 then 1 else s{i} end, 6) as \"{c}\""
+        for i, c in enumerate([*NUMBERS, *DUMMIES])
+    ) + " from e, m where fifth = 0",
     "train_test_split": BASE + "select loan_id, cast(case when h % 5 = 0 then 1 else 0 end as integer) as test from hashed",
     "exact_split": BASE + f"""
 , r as (select loan_id, PD, row_number() over (order by {_hash(42, 13)}, loan_id) as i, count(*) over () as n from clean)
@@ -377,7 +408,8 @@ from grid left join slots using (i)""",
     "threshold_counts": BASE + SWEEP + "select threshold, tp, fp, fn from tc",
     "threshold_sweep": BASE + SWEEP + "select * from sweep",
     "operating_point": BASE + SWEEP + "select * from sweep where threshold = cast(0.1 as double)",
-    "choose_threshold": BASE + SWEEP + "select * from sweep where recall >= 0.95 order by threshold desc limit 1",
+    "choose_threshold": BASE + SWEEP + "select sweep.* from sweep join tr using (threshold) "
+    "where re >= cast(0.95 as double) order by threshold desc limit 1",
     "regression_metrics": BASE + SEVERITY + "select mae, rmse, r2 from lgd_rounded where model = 'model_b'",
     "ols_single_feature": BASE + """
 select round(regr_slope(LGD, max_bal_owed / 1000), 5) as slope,
@@ -400,7 +432,7 @@ union all select 'rmse', arg_min(model, rmse), min(rmse) from lgd_rounded""",
     "expected_loss_per_loan": BASE + "select loan_id, EAD, p, round(el, 6) as el from lossy",
     "expected_loss_summary": BASE + """
 select round(sum(EAD), 2) as portfolio_value, round(sum(el), 2) as expected_loss,
-       round(sum(el) / sum(EAD), 6) as expected_loss_pct from lossy""",
+       round(sum(el) / sum(EAD), 6) as expected_loss_pct, count(*) filter (where el is null) as unscored from lossy""",
     "expected_loss_formatted": BASE + """
 select '$' || format('{:,.2f}', sum(EAD)) as portfolio_value, '$' || format('{:,.2f}', sum(el)) as expected_loss,
        format('{:.2f}', 100 * sum(el) / sum(EAD)) || '%' as expected_loss_pct from lossy""",
@@ -423,4 +455,36 @@ from grid left join n using (bin), b""",
     "top_risk_loans": BASE + """
 select 'L-' || cast(loan_id as varchar) as loan, EAD as ead, round(el, 6) as expected_loss,
        round_even(el / EAD * 100, 1) as el_pct from lossy order by el desc, loan_id limit 10""",
+    # Models: what can be decided without fitting them
+    "pd_baseline": BASE + _models(PD_MODELS) + """
+select model, count(*) as loans, cast(sum(PD) as bigint) as defaults, true as in_range, true as classes,
+       true as board_in_order from hashed, models where h % 5 = 0 group by model""",
+    "pd_grid_search": _candidates("pd"),
+    "pd_final": BASE + _models(PD_MODELS) + """
+, t as (select count(*) as n, count(*) filter (where PD = 0) as n0, count(*) filter (where PD = 1) as n1
+        from hashed where h % 5 = 0)
+, r as (select 'No Default' as "row", n0 as support, n as loans from t union all select 'Defaulter', n1, n from t
+        union all select 'accuracy', n, n from t union all select 'macro avg', n, n from t
+        union all select 'weighted avg', n, n from t)
+select model, "row", support, loans, true as area_in_range from models, r""",
+    "lgd_baseline": BASE + _models(LGD_MODELS) + """
+select model, count(*) as loans, true as errors_consistent, true as board_in_order
+from hashed, models where h % 5 = 0 and PD = 1 group by model""",
+    "lgd_grid_search": _candidates("lgd"),
+    "lgd_final": BASE + _models(LGD_MODELS) + """
+select model, count(*) as loans, true as errors_consistent, true as board_in_order
+from hashed, models where h % 5 = 0 and PD = 1 group by model""",
+    "score_portfolio": BASE + """
+select loan_id, PD, round(LGD, 6) as LGD, EAD, true as p_in_range, true as has_severity, true as el_bounded
+from hashed where h % 5 = 0""",
+    "expected_loss_end_to_end": BASE + """
+select round(sum(EAD), 2) as portfolio_value, cast(0 as bigint) as unscored, true as loss_is_the_sum,
+       true as share_in_range from hashed where h % 5 = 0""",
+    "run_metadata": BASE + f"""
+select true as pd_family, true as lgd_family, strftime(current_date, '%Y-%m') as trained_on, 'loans' as dataset,
+       cast(0.1 as double) as pd_threshold, round_even(sum(EAD), 2) as portfolio_value,
+       cast(1 as integer) as positive_class, 'default' as positive_label, cast({FIT_ROWS} as bigint) as max_fit_rows
+from hashed where h % 5 = 0""",
+    "model_round_trip": BASE + f"""
+select loan_id, cast({len(PD_MODELS)} as integer) as equal_families from hashed where h % 5 = 0""",
 }

@@ -16,7 +16,7 @@ from riskloom.operators.clean import (
     keep_bounded_lgd,
     rename,
 )
-from riskloom.operators.encode import Vocabulary, fit_vocabulary, one_hot
+from riskloom.operators.encode import MAX_LEVELS, Vocabulary, fit_vocabulary, one_hot
 from riskloom.operators.profile import TARGETS, numeric_columns, text_columns
 from riskloom.operators.spread import fit_fences, treat_outliers
 
@@ -49,19 +49,23 @@ def encoded_loans(
     vocabulary: Vocabulary | None = None,
     cap_outliers: bool = False,
     exclude_target_inputs: bool = False,
+    null_category: bool = False,
+    max_levels: int = MAX_LEVELS,
 ) -> DataFrame:
     """The table models are trained on: text columns become 0/1 columns.
 
     ``cap_outliers`` replaces values outside the fences by the quartiles;
-    ``exclude_target_inputs`` drops the two columns LGD is computed from.
+    ``exclude_target_inputs`` drops the two columns LGD is computed from;
+    ``null_category`` gives missing texts a column of their own; a text column
+    with more than ``max_levels`` values is refused.
     """
     df = clean
     if cap_outliers:
         columns = [c for c in numeric_columns(df, TARGETS) if c != key]
         df = treat_outliers(df, fit_fences(df, columns))
     if vocabulary is None:
-        vocabulary = fit_vocabulary(df, text_columns(df, [key]))
-    df = one_hot(df, vocabulary)
+        vocabulary = fit_vocabulary(df, text_columns(df, [key]), max_levels)
+    df = one_hot(df, vocabulary, null_category)
     if exclude_target_inputs:
         df = drop_columns(df, ["max_bal_owed", "funded_amnt"])
     return df

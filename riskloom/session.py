@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,21 +35,46 @@ def local_session(cpus: str | int = "*", app_name: str = "riskloom", **conf: str
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of this machine; on a
-    cluster other executors could not read it.
+    Only a session whose executor is the driver itself may fall back to a folder
+    of this machine; on a cluster other executors could not read it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+# Folders written inside the open scopes of staging(), innermost last.
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/riskloom/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/riskloom/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders that were staged inside the scope when it ends.
+
+    Results that still read them must be written before. Without a scope the
+    folders stay, since a lazy result may read them at any later time.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+            if files.exists(target):
+                files.delete(target, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

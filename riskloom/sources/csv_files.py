@@ -15,7 +15,7 @@ MISSING_TEXTS = [
 ]
 
 # Patterns, since a failing cast costs an exception per cell.
-_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+_WHOLE = r"^\s*[+-]?\d+\s*$"
 _DECIMAL = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|Inf|infinity|Infinity)\s*$"
 _TRUTH = ["True", "TRUE", "true", "False", "FALSE", "false"]
 
@@ -54,35 +54,28 @@ def _typed(name: str, kind: T.DataType) -> Column:
 
 
 def infer_types(raw: DataFrame) -> T.StructType:
-    """Types of all-text columns, found in one scan over every row.
+    """Types of all-text columns, found in one scan with one aggregate per column.
 
-    The cells are put in one column and classified there: the generated code
-    stays small however many columns there are.
+    Whole numbers beyond the range of a bigint stay text, so no digit is lost.
     """
-    cells = F.posexplode(F.array(*[quoted(c) for c in raw.columns])).alias("i", "cell")
-    text = F.col("cell")
-    # 1 whole, 2 decimal, 3 truth value, 4 text; the checks stop at the first that fits.
-    code = (
-        F.when(text.rlike(_WHOLE), 1)
-        .when(text.rlike(_DECIMAL), 2)
-        .when(text.isin(_TRUTH), 3)
-        .otherwise(4)
-    )
-    present = raw.select(cells).filter(text.isNotNull() & ~text.isin(MISSING_TEXTS))
-    rows = present.select("i", code.alias("code")).groupBy("i").agg(
-        F.min("code").alias("low"), F.max("code").alias("high")
-    )
-    found = {r["i"]: (r["low"], r["high"]) for r in rows.collect()}
-
-    def kind(i: int) -> T.DataType:
-        low, high = found.get(i, (2, 2))
-        if high == 1:
-            return T.LongType()
-        if high == 2:
-            return T.DoubleType()
-        return T.BooleanType() if low == high == 3 else T.StringType()
 
-    return T.StructType([T.StructField(c, kind(i)) for i, c in enumerate(raw.columns)])
+    def code(name: str) -> Column:
+        text = quoted(name)
+        # 1 whole, 2 decimal, 4 truth value, 8 text; the checks stop at the first that fits.
+        whole = F.when(F.trim(text).try_cast("bigint").isNotNull(), 1).otherwise(8)
+        return (
+            F.when(text.isNull() | text.isin(MISSING_TEXTS), F.lit(None).cast("int"))
+            .when(text.rlike(_WHOLE), whole)
+            .when(text.rlike(_DECIMAL), 2)
+            .when(text.isin(_TRUTH), 4)
+            .otherwise(8)
+        )
+
+    found = raw.agg(*[F.bit_or(code(c)).alias(f"k{i}") for i, c in enumerate(raw.columns)]).first()
+    kinds = {1: T.LongType(), None: T.DoubleType(), 2: T.DoubleType(), 3: T.DoubleType(), 4: T.BooleanType()}
+    return T.StructType(
+        [T.StructField(c, kinds.get(found[f"k{i}"], T.StringType())) for i, c in enumerate(raw.columns)]
+    )
 
 
 def read_csv(
@@ -91,14 +84,19 @@ def read_csv(
     schema: T.StructType | None = None,
     hint: str = "Check the path.",
     positions: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Headed CSV with typed columns and missing texts as NULL.
+    """Headed CSV with typed columns and missing texts as NULL; a quote in a quoted cell is doubled.
 
     With a ``schema`` the file is scanned only when the result is; a cell that
     does not fit its type is an error. Without one, types are found by a scan
     first. ``positions`` keeps the columns :func:`with_row_position` needs.
+    ``multi_line`` allows line breaks inside quoted cells; such files are not
+    split, so it is off unless asked for.
     """
-    raw = require_input(lambda: spark.read.csv(path, header=True), path, hint)
+    raw = require_input(
+        lambda: spark.read.csv(path, header=True, escape='"', multiLine=multi_line), path, hint
+    )
     kinds = schema or infer_types(raw)
     absent = [f.name for f in kinds if f.name not in raw.columns]
     if absent:
@@ -114,8 +112,20 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Headed CSV part files, without an index column; replaces what is there."""
-    df.write.mode("overwrite").csv(path, header=True)
+    """Headed CSV part files, without an index column; replaces what is there.
+
+    Quotes are doubled, and blanks around a text are kept.
+    """
+    df.write.mode("overwrite").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+
+
+def natural_order(name: Column) -> Column:
+    """A text that sorts as the name does with its numbers taken as numbers."""
+    runs = F.regexp_extract_all(name, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
+    padded = F.transform(runs, lambda x: F.when(x.rlike("^[0-9]"), F.lpad(x, 20, "0")).otherwise(x))
+    return F.array_join(padded, "")
 
 
 def with_row_position(df: DataFrame, name: str = "row_position") -> DataFrame:
@@ -123,17 +133,16 @@ def with_row_position(df: DataFrame, name: str = "row_position") -> DataFrame:
 
     Every file block is numbered by its task; only a count per block is
     aggregated to learn where each block starts. Blocks are ordered by file
-    name and offset, not by the order in which Spark packed them in tasks.
+    name (part 100000 after part 99999) and offset, not by the order in which
+    Spark packed them in tasks.
     """
     blocks = df.groupBy("_file", "_block").agg(
         F.min("_local").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(natural_order(F.col("_file")), "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(
         "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
-    if df.rdd.getNumPartitions() <= 5_000:
-        starts = F.broadcast(starts)
     placed = df.join(starts, ["_file", "_block"])
     position = (F.col("_start") + F.col("_local") - F.col("_first")).alias(name)
     kept = [quoted(c) for c in df.columns if c not in ("_file", "_block", "_local")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.functions.keys import hash_number
@@ -13,12 +15,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def raw_loans(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order, with the columns of a raw loan extract.
+LINE_COLUMNS = ["max_bal_owed", "num_inq", "interest_rate", "princ_rec", "y"]
+CUSTOMER_COLUMNS = ["bal_to_cred_lim", "purpose", "emp_title"]
+RAW_COLUMNS = [
+    "loan_id", "funded_amnt", "max_bal_owed", "num_inq", "interest_rate", "bal_to_cred_lim",
+    "emp_length", "purpose", "emp_title", "princ_rec", "y",
+]
+
+
+def raw_loans(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per order, with the columns of a raw loan extract (all, or those named).
 
     The line table is aggregated on the order key, and the join that follows
-    uses the same partitioning, so the larger table is shuffled once.
+    uses the same partitioning, so the larger table is shuffled once. Lines and
+    customers are joined only for columns that come from them; both are outer
+    joins, so the rows are those of the orders whatever is asked for.
     """
+    wanted = list(columns or RAW_COLUMNS)
     lines = (
         table(spark, folder, "lineitem")
         .groupBy(F.col("l_orderkey").alias("loan_id"))
@@ -43,23 +56,12 @@ def raw_loans(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_name").alias("emp_title"),
     )
     y = F.when(10 * F.col("n_returned") >= 6 * F.col("num_inq"), 1).otherwise(0)
-    return (
-        orders.join(lines, "loan_id", "left")
-        .join(customers, "c_custkey")
-        .select(
-            "loan_id",
-            "funded_amnt",
-            "max_bal_owed",
-            "num_inq",
-            "interest_rate",
-            "bal_to_cred_lim",
-            "emp_length",
-            "purpose",
-            "emp_title",
-            F.col("n_returned").alias("princ_rec"),
-            y.alias("y"),
-        )
-    )
+    loans = orders
+    if set(wanted) & set(LINE_COLUMNS):
+        loans = loans.join(lines, "loan_id", "left").withColumns({"princ_rec": F.col("n_returned"), "y": y})
+    if set(wanted) & set(CUSTOMER_COLUMNS):
+        loans = loans.join(customers, "c_custkey", "left")
+    return loans.select(*wanted)
 
 
 def with_stand_in_score(loans: DataFrame, name: str = "p", signal: int = 300, seed: int = SPLIT_SEED) -> DataFrame:

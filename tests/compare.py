@@ -20,6 +20,7 @@ def connect(folder: str):
     con = duckdb.connect()
     for path in glob.glob(f"{folder}/*.parquet"):
         name = os.path.basename(path).removesuffix(".parquet")
+        path += "/*.parquet" if os.path.isdir(path) else ""
         con.execute(f"create view {name} as select * from read_parquet('{path}')")
     return con
 
