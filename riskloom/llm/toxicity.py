@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.licenses import words
 from riskloom.llm.samples import held_out, labelled_sample
+from riskloom.session import stage
 
 # Labelled documents to fit on, at most.
 MOST_FITTED = 20_000
@@ -61,44 +62,45 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def associated(docs: list[np.ndarray], y: np.ndarray, most: int = MOST_TERMS, least_z: float = 3.0, least_docs: int = 4):
-    """Sorted hashes of the terms whose share differs between the labels, the clearest ``most`` of them."""
-    flat = np.concatenate([*docs, np.zeros(0, np.uint32)])
-    names, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
-    if not len(names):
-        return names
-    positive = np.bincount(inverse, np.repeat(y, [len(d) for d in docs]), len(names))
-    rate = y.mean()
-    z = np.abs(positive - count * rate) / np.sqrt(np.maximum(count * rate * (1 - rate), 1e-9))
-    good = np.flatnonzero((z >= least_z) & (count >= least_docs))
-    good = good[np.lexsort((names[good], -z[good]))][:most]
-    return np.sort(names[good])
-
+def associated(sample: DataFrame, most: int = MOST_TERMS, least_z: float = 3.0, least_docs: int = 4) -> np.ndarray:
+    """Sorted hashes of the terms whose share differs between the labels, the clearest ``most`` of them.
 
-def positions(names: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(names, hashes)
-    known = at < len(names)
-    known[known] = names[at[known]] == hashes[known]
-    return at[known]
+    ``sample`` has ``terms`` (array of int) and ``y``.
+    """
+    n, rate = sample.agg(F.count(F.lit(1)), F.avg("y")).first()
+    if not n or rate in (0.0, 1.0):
+        return np.zeros(0, np.uint32)
+    spread = F.sqrt(F.col("n") * rate * (1 - rate))
+    counted = (
+        sample.select("y", F.explode("terms").alias("term"))
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positive"))
+        .where(F.col("n") >= least_docs)
+        .withColumn("z", F.abs(F.col("positive") - F.col("n") * rate) / spread)
+        .where(F.col("z") >= least_z)
+    )
+    chosen = counted.orderBy(F.desc("z"), "term").limit(most).select("term").collect()
+    return np.sort(np.array([r["term"] for r in chosen], dtype=np.int32).view(np.uint32))
 
 
 def fit(
-    docs: list[np.ndarray],
+    index: list[np.ndarray],
     y: np.ndarray,
+    names: np.ndarray,
     factors: int = 4,
     epochs: int = 30,
     rate: float = 0.1,
     decay: float = 2e-4,
     batch: int = 256,
     seed: int = 5,
-    most_terms: int = MOST_TERMS,
 ) -> FactorizationMachine:
-    """Logistic loss, AdaGrad steps over shuffled batches. One label only gives its constant rate."""
+    """Logistic loss, AdaGrad steps over shuffled batches; ``index`` has positions in ``names``.
+
+    One label only gives its constant rate.
+    """
     y = y.astype(np.float64)
     share = float((y.sum() + 0.5) / (len(y) + 1))
     bias = float(np.log(share / (1 - share)))
-    names = associated(docs, y, most_terms) if len(y) else np.zeros(0, np.uint32)
-    index = [positions(names, d) for d in docs]
     rng = np.random.default_rng(seed)
     m = FactorizationMachine(names, bias, np.zeros(len(names)), rng.normal(0, 0.05, (len(names), factors)))
     if not len(names):
@@ -128,18 +130,42 @@ def fit(
     return m
 
 
-def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_FITTED, seed: int = 5, **options) -> FactorizationMachine:
-    """Fit on at most ``most`` labelled documents that are not held out."""
+def learn(
+    docs: DataFrame, labels: DataFrame, most: int = MOST_FITTED, most_terms: int = MOST_TERMS, seed: int = 5, **options
+) -> FactorizationMachine:
+    """Fit on at most ``most`` labelled documents that are not held out.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Terms are chosen by an aggregate over the sample; the driver gets the chosen
+    ones of each document.
+    """
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [terms(t.as_py()).astype("<u4").tobytes() for t in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), batch.column(2)], ["doc_id", "terms", "y"])
+            found = [terms(t.as_py()).view(np.int32) for t in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.int32())), batch.column(2)], ["doc_id", "terms", "y"]
+            )
 
     sample = labelled_sample(docs, labels, "toxic", 5, 0, most, seed)
     key = sample.schema["doc_id"].dataType.simpleString()
-    found = sample.mapInArrow(run, f"doc_id {key}, terms binary, y int").toPandas().sort_values("doc_id")
-    return fit([np.frombuffer(t, "<u4") for t in found["terms"]], found["y"].to_numpy(np.float64), seed=seed, **options)
+    found = stage(sample.mapInArrow(find, f"doc_id {key}, terms array<int>, y int"), "labelled-terms")
+    names = associated(found, most_terms)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for t in batch.column(1):
+                own = np.array(t.as_py(), dtype=np.int32).view(np.uint32)
+                at = np.searchsorted(names, own)
+                at, own = at[at < len(names)], own[at < len(names)]
+                out.append(at[names[at] == own].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(out, pa.list_(pa.int32())), batch.column(2)], ["doc_id", "terms", "y"]
+            )
+
+    chosen = found.mapInArrow(choose, f"doc_id {key}, terms array<int>, y int").toPandas().sort_values("doc_id")
+    index = [np.asarray(t, dtype=np.int64) for t in chosen["terms"]]
+    return fit(index, chosen["y"].to_numpy(np.float64), names, seed=seed, **options)
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
