@@ -24,10 +24,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskloom.llm.samples import hash_sample
 from riskloom.session import stage
 
 NEIGHBOURS = 10
-# Vectors that centroids and probes are fitted on, their components, and the lists, at most.
+# Vectors that centroids and probes are fitted on (about), their components, and the lists, at most.
 MOST_FITTED = 20_000
 MOST_COMPONENTS = 4_000_000
 MOST_LISTS = 4096
@@ -203,8 +204,11 @@ def search(
     count = classes.count()
     lists = int(np.clip(count // LIST, 1, MOST_LISTS))
     most = min(most_fitted, max(1, MOST_COMPONENTS // width))
-    chosen = classes.orderBy(F.xxhash64("class_id", F.lit(seed)), "class_id").limit(most).select("vector")
-    sample = np.array([r[0] for r in chosen.collect()], dtype=np.float64)
+    chosen = hash_sample(classes.select("class_id", "vector"), "class_id", most, seed).toPandas()
+    # A handful of vectors may all miss the share.
+    if not len(chosen):
+        chosen = classes.select("class_id", "vector").limit(1).toPandas()
+    sample = np.array(chosen.sort_values("class_id")["vector"].tolist(), dtype=np.float64)
     centers = centroids(sample, lists, seed=seed)
     probes = probes_for(sample, centers, neighbours, recall)
     del sample

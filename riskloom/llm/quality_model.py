@@ -25,7 +25,7 @@ from riskloom.llm.samples import held_out, labelled_sample
 BUCKETS = 1 << 14
 WIDTH = 32
 WINDOW = 2
-# Labelled documents to fit on, at most.
+# Labelled documents to fit on, about; all if there are fewer.
 MOST_FITTED = 20_000
 CACHED_WORDS = 300_000
 # Tokens whose contexts are counted at once.

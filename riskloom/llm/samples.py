@@ -12,15 +12,24 @@ def held_out(key: Column, buckets: int, bucket: int) -> Column:
     return F.coalesce(crc_bucket(key, buckets) == bucket, F.lit(False))
 
 
+def hash_sample(rows: DataFrame, key: str, most: int, seed: int) -> DataFrame:
+    """About ``most`` rows, by a seeded hash of their key; all rows if there are no more."""
+    share = most / max(1, rows.count())
+    if share >= 1:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, buckets: int, bucket: int, most: int, seed: int
 ) -> DataFrame:
-    """``doc_id, text, y`` of at most ``most`` labelled rows that are not held out.
+    """``doc_id, text, y`` of about ``most`` labelled rows, or all if fewer, that are not held out.
 
-    ``docs`` has ``doc_id`` and ``text``. Ids are taken in the order of a seeded
-    hash, the same at every size. An id with several labels has their maximum;
-    null ids and null labels are left out. The chosen ids, at most ``most`` pairs
-    of numbers, are broadcast, so the texts are filtered where they are read.
+    ``docs`` has ``doc_id`` and ``text``. An id is taken if its seeded hash is in
+    the share that is wanted, so no sort is needed and the driver sees none of
+    them. An id with several labels has their maximum; null ids and null labels
+    are left out. The chosen ids, about ``most`` pairs of numbers, are broadcast,
+    so the texts are filtered where they are read.
     """
     marks = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -28,5 +37,5 @@ def labelled_sample(
         .groupBy("doc_id")
         .agg(F.max(F.col(label).cast("int")).alias("y"))
     )
-    chosen = marks.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(most)
+    chosen = hash_sample(marks, "doc_id", most, seed)
     return docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")

@@ -22,7 +22,7 @@ from riskloom.llm.licenses import words
 from riskloom.llm.samples import held_out, labelled_sample
 from riskloom.session import stage
 
-# Labelled documents to fit on, at most.
+# Labelled documents to fit on, about; all if there are fewer.
 MOST_FITTED = 20_000
 MOST_TERMS = 4096
 CACHED_WORDS = 300_000
@@ -133,7 +133,7 @@ def fit(
 def learn(
     docs: DataFrame, labels: DataFrame, most: int = MOST_FITTED, most_terms: int = MOST_TERMS, seed: int = 5, **options
 ) -> FactorizationMachine:
-    """Fit on at most ``most`` labelled documents that are not held out.
+    """Fit on about ``most`` labelled documents that are not held out.
 
     Terms are chosen by an aggregate over the sample; the driver gets the chosen
     ones of each document.
