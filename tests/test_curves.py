@@ -88,3 +88,30 @@ def test_scores_are_merged_and_shuffled_once(scores, monkeypatch):
     # Only one exchange carries scores to be merged; the totals of the parts need none.
     merges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "score" in x]
     assert len(merges) == 1
+
+
+@pytest.mark.parametrize("part", [50_000, 7])
+def test_nan_and_missing_scores_are_left_out(spark, part, monkeypatch):
+    monkeypatch.setattr(E, "ROWS_PER_PART", part)
+    rows = [(i % 2, (i * 37 % 101) / 101) for i in range(200)]
+    clean = spark.createDataFrame(rows, "PD int, p double")
+    dirty = spark.createDataFrame([*rows, (1, float("nan")), (0, float("nan")), (1, None), (None, 0.3)], "PD int, p double")
+    assert E.roc_auc(dirty).first() == E.roc_auc(clean).first()
+    assert E.roc_curve(dirty).count() == E.roc_curve(clean).count()
+
+
+def test_scores_are_never_ranked_by_one_window(spark):
+    scores = spark.range(2000).selectExpr("cast(id % 2 as int) as PD", "id / 2000 as p")
+    plan = E.roc_curve(scores)._jdf.queryExecution().executedPlan().toString()
+    # The only single partition is that of the totals of the parts.
+    assert "Exchange hashpartitioning(part" in plan
+    for line in plan.splitlines():
+        assert "SinglePartition" not in line or "score" not in line
+
+
+def test_threshold_is_chosen_before_rounding(spark):
+    # Recall 0.9496 at 0.30 rounds to 0.950.
+    counts = spark.createDataFrame([(0.05, 10_000, 50, 0), (0.30, 9_496, 20, 504)], "threshold double, tp bigint, fp bigint, fn bigint")
+    chosen = E.choose_threshold(counts, 0.95).first()
+    assert (chosen["threshold"], chosen["recall"]) == (0.05, 1.0)
+    assert E.choose_threshold(counts, 0.9496).first()["threshold"] == 0.30

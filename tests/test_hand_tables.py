@@ -11,7 +11,7 @@ from riskloom.operators import profile as P
 from riskloom.operators import spread as S
 from riskloom.operators.correlate import correlation
 from riskloom.operators.encode import fit_vocabulary, one_hot
-from riskloom.operators.scale import fit_scale, scale_stage, scaled
+from riskloom.operators.scale import feature_stage, fit_scale, scaled
 from riskloom.plans.prepare import encoded_loans
 
 near = lambda x: pytest.approx(x, abs=1e-6)
@@ -156,7 +156,7 @@ def test_scaling(spark):
         [-1.341641, -0.447214, 0.447214, 1.341641])
     new = spark.createDataFrame([(5.0, 9.0)], "x double, c double")
     assert tuple(scaled(new, fit).first()) == near((2.236068, 2.0))
-    staged = scale_stage(fit).transform(new).first()
+    staged = feature_stage(["x", "c"], ["x_z", "c_z"], fit).transform(new).first()
     assert (staged["x_z"], staged["c_z"]) == near((2.236068, 2.0))
 
 
@@ -176,7 +176,7 @@ def test_sweep(eight_scores):
     sweep = E.threshold_sweep(eight_scores, ts)
     assert [tuple(r) for r in sweep.orderBy("threshold").collect()] == [(s[0], *s[4:7]) for s in SWEEP]
     assert tuple(E.operating_point(sweep).first()) == (0.1, 0.6, 0.75, 0.667)
-    assert E.choose_threshold(sweep, 0.7).first()["threshold"] == 0.1
+    assert E.choose_threshold(E.threshold_counts(eight_scores, ts), 0.7).first()["threshold"] == 0.1
     for t, *_, share in SWEEP:
         flagged = E.flagged(eight_scores, threshold=t)
         assert E.flagged_against_actual(flagged).first()["flagged_to_actual_ratio"] == share
@@ -216,7 +216,7 @@ def test_expected_loss(spark):
     )
     el = X.expected_loss(df)
     assert [r["el"] for r in el.orderBy("loan_id").collect()] == near([50, 0, 2700, 800])
-    assert tuple(X.loss_summary(el).first()) == near((10000, 3550, 0.355))
+    assert tuple(X.loss_summary(el).first()) == near((10000, 3550, 0.355, 0))
     assert tuple(X.summary_texts(X.loss_summary(el)).first()) == ("$10,000.00", "$3,550.00", "35.50%")
     parts = by(X.composition(el), "part")
     assert parts["Safe Capital"]["amount"] == near(6450) and parts["Expected Loss"]["share_pct"] == near(35.5)
@@ -244,3 +244,17 @@ def test_join_by_key(spark):
     assert got[3]["y"] is None and len(got) == 3
     with pytest.raises(ValueError):
         C.join_by_key(x, y, "loan_id", strict=True)
+
+
+def test_a_missing_prediction_makes_the_totals_unknown(spark):
+    df = spark.createDataFrame([(100.0, 5.0), (900.0, None)], "EAD double, el double")
+    assert tuple(X.loss_summary(df).first()) == (1000.0, None, None, 1)
+
+
+def test_an_empty_table_keeps_names_and_types(spark):
+    from riskloom.operators import profile
+
+    empty = spark.createDataFrame([], "a int, b string")
+    rows = [tuple(r) for r in profile.table_info(empty).orderBy("position").collect()]
+    assert [r[:2] for r in rows] == [("a", 0), ("b", 1)] and {r[3] for r in rows} == {"int", "string"}
+    assert tuple(profile.shape(empty).first()) == (0, 2)

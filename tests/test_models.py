@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import training as M
 from riskloom.operators.leaderboard import lgd_leaderboard, pd_leaderboard
-from riskloom.plans.catalog import QUERIES, clean
+from riskloom import session
+from riskloom.plans.catalog import FILL, clean
 from riskloom.plans.credit_run import credit_run, prepare_training
 from riskloom.plans.jobs import load_cleaned, prepare_job, profile_job, run_job
 from riskloom.plans.prepare import encoded_loans
@@ -26,7 +27,7 @@ def encoded(spark):
 
 @pytest.fixture(scope="module")
 def data(encoded):
-    return prepare_training(encoded)
+    return prepare_training(encoded, fill=FILL)
 
 
 def test_features_are_scaled_for_pd_only(data):
@@ -61,10 +62,11 @@ def test_lgd_trees_beat_the_line(data):
 
 
 def test_parameters():
-    assert len(M.grid_points(M.BOOSTING_GRID)) == 18
-    assert len(M.grid_points(M.LOGISTIC_GRID)) == 8
-    assert len(M.grid_points(M.FOREST_GRID)) == 8
-    assert len(M.grid_points(M.TREE_GRID)) == 6
+    assert {n: len(M.grid_points(g)) for n, g in M.PD_GRIDS.items()} == {M.GBT: 18, M.LOGISTIC: 8, M.FOREST: 8, M.TREE: 6}
+    assert {n: len(M.grid_points(g)) for n, g in M.LGD_GRIDS.items()} == {M.GBT: 18, M.FOREST: 8, M.TREE: 6}
+    for asked in ({"min_samples_split": 2}, {"solver": "saga"}):
+        with pytest.raises(ValueError, match="no counterpart"):
+            M.classifier(M.TREE, 10, **asked)
     with pytest.raises(ValueError, match="no parameter"):
         M._spark_params(M.GBT, {"leaves": 3}, 10)
 
@@ -74,14 +76,17 @@ def test_parameter_mapping(spark):
     assert (lr.getRegParam(), lr.getElasticNetParam(), lr.getStandardization()) == (0.05, 1.0, False)
     deep = M.classifier(M.TREE, 1000, max_depth=None, min_samples_leaf=4)
     assert (deep.getMaxDepth(), deep.getMinInstancesPerNode()) == (30, 4)
-    # A tree without a depth limit stays bounded on large data.
-    assert M.classifier(M.TREE, 2**27, max_depth=None).getMinInstancesPerNode() == 2**10
-    assert not M.regressor(M.FOREST, 10**9).getCacheNodeIds()
+    # What is asked for is fitted, however many rows there are.
+    for rows in (10, 10**7, 2**40):
+        for leaf in (1, 4):
+            for make, name in ((M.classifier, M.TREE), (M.classifier, M.FOREST), (M.regressor, M.TREE), (M.regressor, M.FOREST)):
+                assert make(name, rows, min_samples_leaf=leaf).getMinInstancesPerNode() == leaf
+    assert not M.regressor(M.FOREST, 10**3, cache_node_ids=False).getCacheNodeIds()
     assert M.regressor(M.FOREST, 10**3).getFeatureSubsetStrategy() == "all"
 
 
 def test_grid_search(data):
-    grids = {M.TREE: {"max_depth": [2, 6], "min_samples_split": [2, 5]}, M.LOGISTIC: {"C": [0.01, 1.0], "penalty": ["l2"]}}
+    grids = {M.TREE: {"max_depth": [2, 6]}, M.LOGISTIC: {"C": [0.01, 1.0], "penalty": ["l2"]}}
     found = M.grid_search(data.pd_train, "pd", grids)
     assert set(found) == set(grids)
     assert set(found[M.TREE].params) == {"max_depth"} and 0 < found[M.TREE].score < 1
@@ -93,43 +98,104 @@ def test_grid_search(data):
     assert lgd[M.TREE].params == {"max_depth": 8} and lgd[M.TREE].score > 0
 
 
-def test_saved_model_scores_alike(spark):
-    rows = QUERIES["model_round_trip"](spark, TABLES)
-    assert rows.count() > 0 and rows.filter("p_fitted <> p_loaded").count() == 0
+def test_fit_does_not_depend_on_the_partitioning(data):
+    few = {M.FOREST: {"n_estimators": 5, "max_depth": 6}}
+    scores = []
+    for n in (1, 3):
+        fitted = M.fit_default(data.pd_train.repartition(n), "pd", [M.FOREST], few)
+        rows = M.pd_scores(fitted, data.pd_test, ["loan_id"]).orderBy("loan_id").collect()
+        scores.append([r["p"] for r in rows])
+    assert scores[0] == scores[1]
+
+
+def test_bounded_rows(data):
+    n = data.pd_train.count()
+    some = M.bounded_rows(data.pd_train, "loan_id", n // 2)
+    assert 0.35 * n < some.count() < 0.65 * n
+    assert M.bounded_rows(data.pd_train, "loan_id", n) is data.pd_train
+    assert M.bounded_rows(data.pd_train, "loan_id", None) is data.pd_train
+
+
+def test_any_feature_name_will_do(spark):
+    from riskloom.operators.scale import fit_scale
+
+    names = ["a.b", "c `d`", "St. x"]
+    rows = spark.createDataFrame([(i, i % 2, float(i), 2.0 * i, 1.0) for i in range(20)], "loan_id int, PD int, x double, y double, z double")
+    df = rows.toDF("loan_id", "PD", *names)
+    for scale in (None, fit_scale(df, names)):
+        features = M.assemble(names, scale)
+        model = M.classifier(M.TREE, 20, max_depth=2).fit(features.transform(df))
+        assert M.pd_scores({M.TREE: model}, features.transform(df), ["loan_id"]).count() == 20
+
+
+def test_missing_features_are_refused_or_filled(encoded):
+    open_ = encoded.withColumn("num_inq", F.when(F.col("loan_id") % 7 != 0, F.col("num_inq")))
+    with pytest.raises(ValueError, match="num_inq"):
+        prepare_training(open_, fill=FILL)
+    assert prepare_training(open_, fill={**FILL, "num_inq": 1}).train.filter("num_inq is null").count() == 0
+
+
+def test_exact_and_stratified_split_of_a_run(encoded):
+    data = prepare_training(encoded, fill=FILL, stratify="PD")
+    for k in (0, 1):
+        n = encoded.filter(F.col("PD") == k).count()
+        assert data.pd_test.filter(F.col("PD") == k).count() == -(-n // 5)
 
 
 @pytest.mark.parametrize("select_by", ["test", "cv"])
 def test_run(encoded, select_by):
     grids = {M.TREE: {"max_depth": [3, 6]}}
-    run = credit_run(encoded, pd_grids=grids, lgd_grids=grids, select_by=select_by)
-    total, loss, share = run.summary.first()
+    run = credit_run(encoded, pd_grids=grids, lgd_grids=grids, select_by=select_by, params=FEW, fill=FILL)
+    total, loss, share, unscored = run.summary.first()
+    assert unscored == 0
+    assert run.pd_base_board.count() == 4 and run.lgd_base_board.count() == 4
+    assert run.pd_report.filter("model = 'Decision Tree'").count() == 5 and run.pd_confusion.count() == 1
+    assert run.flagged.first()["flagged"] == run.scored.filter("p >= 0.1").count()
     sums = run.scored.agg(F.sum("EAD"), F.sum("el")).first()
     assert (total, loss) == pytest.approx(tuple(sums)) and share == pytest.approx(loss / total)
     assert run.scored.filter("el < 0 or el > EAD * p + 1e-9").count() == 0
     meta = run.metadata.first()
-    assert len(run.metadata.columns) == 19
+    assert len(run.metadata.columns) == 20
     assert (meta["pd_model"], meta["pd_threshold"], meta["positive_class"]) == (M.TREE, 0.1, 1)
     assert meta["expected_loss_pct"] == round(share, 4)
     if meta["lgd_model"] == M.OLS:
         assert meta["lgd_best_params"] == {}
 
 
+def scratch_files(spark):
+    """The folders that are staged at the moment."""
+    from pathlib import Path
+
+    return {p.name for p in Path(session.scratch_dir(spark), "riskloom").glob("*")}
+
+
 def test_jobs(spark, tmp_path):
     from riskloom.sources.csv_files import write_csv
     from riskloom.sources.tables import raw_loans
 
     raw = stage(raw_loans(spark, TABLES), "raw")
+    before = scratch_files(spark)
     write_csv(raw.drop("y").orderBy("loan_id").drop("loan_id"), str(tmp_path / "x"))
     write_csv(raw.orderBy("loan_id").select("y"), str(tmp_path / "y"))
     prepare_job(spark, str(tmp_path / "x"), str(tmp_path / "y"), str(tmp_path / "cleaned"))
     cleaned = load_cleaned(spark, str(tmp_path / "cleaned"))
     assert cleaned.count() == clean(spark, TABLES).count()
-    tables = profile_job(spark, str(tmp_path / "cleaned"), str(tmp_path / "profile"))
-    assert tables["classes"].count() == 2
+    names = profile_job(spark, str(tmp_path / "cleaned"), str(tmp_path / "profile"))
+    assert len(names) == 11
+    for name in names:
+        assert spark.read.csv(str(tmp_path / "profile" / name), header=True).count() > 0
     run_job(
         spark, str(tmp_path / "cleaned"), str(tmp_path / "out"),
-        search=False, pd_models=[M.TREE], lgd_models=[M.OLS], params=FEW,
+        search=False, pd_models=[M.TREE], lgd_models=[M.OLS], params=FEW, fill=FILL, exact=True,
+        thresholds=[0.2, 0.4],
     )
+    written = {p.name for p in (tmp_path / "out").iterdir()}
+    assert written == {
+        "pd_base_board", "lgd_base_board", "pd_board", "lgd_board", "pd_report", "pd_confusion", "thresholds",
+        "flagged", "roc", "summary", "composition", "histogram", "riskiest", "scored", "metadata", "pd_model", "lgd_model",
+    }
+    assert spark.read.csv(str(tmp_path / "out" / "thresholds"), header=True).count() == 2
+    assert scratch_files(spark) <= before
     document = "".join(p.read_text() for p in (tmp_path / "out" / "metadata").glob("part-*"))
     assert json.loads(document)["lgd_model"] == M.OLS and json.loads(document)["pd_cv_auc"] is None
     assert spark.read.parquet(str(tmp_path / "out" / "scored")).count() > 0

@@ -77,3 +77,14 @@ def test_value_splits_balance(data):
     assert cuts == sorted(set(cuts)) and len(cuts) == 9
     assert O.value_splits(data, F.col("c0"), 10_000) == []
     assert O.value_splits(data, F.col("c3"), 300) == [7.0]
+
+
+def test_value_splits_refine_parts(data):
+    cuts = O.value_splits(data, F.col("c0"), 20, coarse=5)
+    assert len(cuts) > 20
+    counts = data.select(F.col("c0").alias("x")).filter("x is not null").collect()
+    import bisect
+    import collections
+
+    sizes = collections.Counter(bisect.bisect_right(cuts, r["x"]) for r in counts)
+    assert max(sizes.values()) <= 6 * 20

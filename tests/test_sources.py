@@ -126,6 +126,8 @@ class Unset:
 def test_only_a_local_session_makes_its_own_folder(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_dir(Unset("spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Unset("local-cluster[3,2,1000]"))
     local = Unset("local[4]")
     assert session.scratch_dir(local) == session.scratch_dir(local) == local.folder
 
@@ -133,3 +135,58 @@ def test_only_a_local_session_makes_its_own_folder(spark):
 def test_month_text(spark):
     month = spark.sql("select date_format(current_date(), 'yyyy-MM')").first()[0]
     assert datetime.datetime.strptime(month, "%Y-%m")
+
+
+def test_cells_as_other_tools_write_them(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('id,title,n\n1,"say ""hi"", now",9223372036854775806\n2,"  lead ",-9223372036854775808\n')
+    rows = [tuple(r) for r in read_csv(spark, str(path)).orderBy("id").collect()]
+    assert rows == [(1, 'say "hi", now', 9223372036854775806), (2, "  lead ", -9223372036854775808)]
+    path.write_text("id\n9223372036854775807\n9223372036854775808\n")
+    assert [r["id"] for r in read_csv(spark, str(path)).orderBy("id").collect()] == [
+        "9223372036854775807", "9223372036854775808",
+    ]
+    path.write_text('id,title\n1,"two\nlines"\n2,one\n')
+    rows = read_csv(spark, str(path), multi_line=True).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, "two\nlines"), (2, "one")]
+
+
+def test_sink_doubles_quotes_and_keeps_blanks(spark, tmp_path):
+    df = spark.createDataFrame([(1, ' q"x '), (2, 'a, "b"')], "id bigint, t string")
+    write_csv(df.coalesce(1), str(tmp_path / "out"))
+    text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
+    assert '" q""x "' in text and '"a, ""b"""' in text and "\\" not in text
+    assert read_csv(spark, str(tmp_path / "out")).exceptAll(df).count() == 0
+
+
+def test_parts_are_ordered_by_number(spark):
+    from riskloom.sources.csv_files import natural_order
+
+    names = [f"file:/x/d2/part-{n}-c000.csv" for n in ("00009", "00010", "99999", "100000", "1000000")]
+    df = spark.createDataFrame([(n,) for n in reversed(names)], "f string")
+    assert [r["f"] for r in df.orderBy(natural_order(F.col("f"))).collect()] == names
+
+
+def test_staging_removes_its_folders(spark, ten_loans):
+    from pathlib import Path
+
+    kept = session.stage(ten_loans, "kept")
+    with session.staging(spark):
+        gone = session.stage(ten_loans, "gone")
+        with session.staging(spark):
+            inner = session.stage(ten_loans, "inner").inputFiles()
+        assert not Path(inner[0].removeprefix("file://")).exists()
+        files = gone.inputFiles()
+    assert not Path(files[0].removeprefix("file://")).exists()
+    assert kept.count() == 10
+
+
+def test_loan_view_keeps_the_rows_of_the_orders(spark):
+    from conftest import TABLES
+
+    from riskloom.sources.tables import raw_loans
+
+    whole = raw_loans(spark, TABLES)
+    narrow = raw_loans(spark, TABLES, ["loan_id", "y", "purpose"])
+    assert narrow.exceptAll(whole.select("loan_id", "y", "purpose")).count() == 0
+    assert raw_loans(spark, TABLES, ["funded_amnt"]).count() == whole.count()

@@ -50,3 +50,11 @@ def test_folds(loans, digits, folds, monkeypatch):
             assert len(sizes) == folds and max(sizes) - min(sizes) <= 1
         moved = S.with_folds(loans.repartition(6), folds, stratify=stratify)
         assert moved.exceptAll(numbered).count() == 0
+
+
+def test_a_row_without_a_key_is_not_lost(spark):
+    from riskloom.operators.split import train_test_split
+
+    df = spark.createDataFrame([(1,), (2,), (None,), (14,)], "loan_id bigint")
+    train, test = train_test_split(df)
+    assert train.count() + test.count() == 4 and test.filter("loan_id is null").count() == 0
