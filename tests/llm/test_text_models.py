@@ -205,16 +205,31 @@ def test_common_and_joined_words_score_alike(documents, monkeypatch):
 
 
 def test_spelling_is_a_distribution():
-    found = [b"ab", b"abc", b"ba", b"", b"abab", b"\xc3\xa9"]
-    codes, n = np.unique(pitman_yor.triples(found), return_counts=True)
-    spelling = pitman_yor.fit_spelling(codes, n)
-    for prob, back, parent in spelling.seatings:
-        assert np.allclose(parent.reshape(-1, 257).sum(axis=1), 1)
-        full = back[:, None] * parent.reshape(-1, 257)[np.arange(257 * 257) % 257]
-        full.reshape(-1)[codes] = prob
-        assert np.allclose(full.sum(axis=1), 1)
-    logs = spelling.log10(found)
-    assert logs[0] > spelling.log10([b"zq"])[0]
+    found = [b"ab", b"abc", b"ba", b"", b"abab", b"\xc3\xa9", b"abcabcabc"]
+    codes, n = np.unique(pitman_yor.grams(found), return_counts=True)
+    direct = {}
+    for order, part in ((pitman_yor.ORDER, codes % 2 == 0), (2, codes % 2 == 1)):
+        short, at = np.unique(codes[part] % 257 ** (order + 1), return_inverse=True)
+        direct[order] = (short, np.bincount(at, n[part]).astype(np.int64))
+    spelling = pitman_yor.fit_spelling(direct)
+    # Whatever the context, seen or not, the next letter's probabilities sum to one.
+    for context in {*(codes // 257), 0, 5 * 257**3 + 97}:
+        for p in spelling.letters(context * 257 + np.arange(257)):
+            assert p.sum() == pytest.approx(1)
+    assert spelling.log10(found)[0] > spelling.log10([b"zq"])[0]
+
+
+def test_grams_do_not_reach_across_words():
+    end = pitman_yor.END
+    got = pitman_yor.grams([b"ab", b"", b"c"]).tolist()
+
+    def code(*digits):
+        out = 0
+        for d in [*[end] * (pitman_yor.ORDER + 1 - len(digits)), *digits]:
+            out = out * 257 + d
+        return out
+
+    assert got == [code(97), code(97, 98), code(97, 98, end), code(end), code(99), code(99, end)]
 
 
 def test_predictive_probabilities_sum_to_one():
