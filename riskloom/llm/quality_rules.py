@@ -321,10 +321,9 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that base rules and learned list keep, all columns unchanged.
 
-    The verdict is a function of the text, so rows are joined to it by a hash of
-    id and text; repeated rows stay repeated.
+    The verdict is an expression over the text, so the rows are filtered where
+    they are read: computing the statistics again is cheaper than shuffling texts.
     """
-    verdicts, _ = judged(docs, labels, id_col, text_col, **options)
-    keys = verdicts.where("kept").select(F.col("row_key").alias("__row_key")).distinct()
-    named = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("__row_key"), F.struct("*").alias("__row"))
-    return named.join(keys, "__row_key", "left_semi").select("__row.*")
+    _, rules = judged(docs, labels, id_col, text_col, **options)
+    rows = with_statistics(docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__text")), "__text")
+    return rows.where(~base_failed() & rules.keeps()).select("__row.*")
