@@ -235,14 +235,15 @@ def run_metadata(
         pairs = [F.lit(x) for k, v in p.items() for x in (k, json.dumps(v))]
         return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
 
-    def one_row(df: DataFrame, *columns: str) -> DataFrame:
-        return df.select(F.lit(1).alias("_one"), *columns)
-
-    figures = (
-        one_row(point, "precision", "recall", "f1")
-        .join(one_row(lgd_row, "mae", "rmse"), "_one")
-        .join(one_row(summary, "portfolio_value", "expected_loss", "expected_loss_pct"), "_one")
-    )
+    names, row = [], []
+    for df, columns in (
+        (point, ("precision", "recall", "f1")),
+        (lgd_row, ("mae", "rmse")),
+        (summary, ("portfolio_value", "expected_loss", "expected_loss_pct")),
+    ):
+        names += columns
+        row += [None if v is None else float(v) for v in df.select(*columns).first()]
+    figures = spark.createDataFrame([tuple(row)], ", ".join(f"{n} double" for n in names))
     return figures.select(
         F.lit(pd_name).alias("pd_model"),
         F.lit(lgd_name).alias("lgd_model"),

@@ -205,3 +205,21 @@ def test_cleaned_table_without_key_and_with_truth_values(spark, tmp_path):
     (tmp_path / "c.csv").write_text("a,PD,emp_length_x\n1.5,0,True\n2.5,1,False\n")
     df = load_cleaned(spark, str(tmp_path / "c.csv"))
     assert [tuple(r) for r in df.orderBy("loan_id").collect()] == [(0, 1.5, 0, 1), (1, 2.5, 1, 0)]
+
+
+def test_search_queries_on_few_candidates(spark, monkeypatch):
+    from compare import connect, differences
+
+    from riskloom.plans import catalog, oracle
+
+    few = {
+        "pd": {M.GBT: {"n_estimators": [3]}, M.LOGISTIC: {"C": [0.1, 1]}, M.FOREST: {"n_estimators": [5]}, M.TREE: {"max_depth": [3, 5]}},
+        "lgd": {M.GBT: {"n_estimators": [3]}, M.FOREST: {"n_estimators": [5]}, M.TREE: {"max_depth": [3, 5]}},
+    }
+    monkeypatch.setattr(catalog, "SEARCH_GRIDS", few)
+    monkeypatch.setattr(oracle, "SEARCH_GRIDS", few)
+    monkeypatch.setattr(catalog, "_fitted", {})
+    con = connect(TABLES)
+    twins = {**oracle.ORACLE, "pd_grid_search": oracle._candidates("pd"), "lgd_grid_search": oracle._candidates("lgd")}
+    for name in ("pd_grid_search", "pd_final", "lgd_grid_search", "lgd_final", "model_round_trip"):
+        assert differences(catalog.QUERIES[name](spark, TABLES), con, twins[name]) == [], name
