@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-ROWS_PER_PIECE = 20_000
+ROWS_PER_PIECE = 4_000
 
 
 def ranked(rows: DataFrame, keys: list[str], hash_col: str) -> DataFrame:
