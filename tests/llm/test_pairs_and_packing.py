@@ -69,8 +69,6 @@ def test_links_connect_all_close_prints(spark, agree, chunk):
     signed = [p - 2**64 if p >> 63 else p for p in prints]
     frame = spark.createDataFrame([(p,) for p in signed], "fingerprint bigint")
     links = simhash.near_links(frame, 4, chunk, agree).collect()
-    for u, v in links:
-        assert bin((u ^ v) % 2**64).count("1") <= 64
     own = {p: p for p in signed}
 
     def find(p):
@@ -107,7 +105,8 @@ def test_one_of_each_group_stays(clashing):
     assert out.columns == clashing.columns
     ids = [r.doc_id for r in out.select("doc_id").collect()]
     assert ids.count(10) == 1
-    assert sorted(i for i in ids if i is not None) == [1, 3, 4, 7, 8, 9, 10, 11] or 3 not in ids
+    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(clashing).collect()}
+    assert sorted(i for i in ids if i is not None) == sorted({c for d, c in groups.items() if c is not None})
     assert simhash.keep_one_of_each(clashing.where("doc_id is null and lang is null")).count() == 1
 
 

@@ -240,7 +240,6 @@ def test_predictive_probabilities_sum_to_one():
     totals = pitman_yor.Totals(
         counts.sum(axis=0).astype(float), np.full(pitman_yor.CONTEXTS, 0.6), 0.5, [], []
     )
-    state = list
     for sweep in range(3):
         if not sweep:
             t, s = (counts > 0).astype(int), np.ones(len(counts), int)
@@ -252,7 +251,6 @@ def test_predictive_probabilities_sum_to_one():
         root = (0.5 * s.sum() + 1) / (1 + t.sum())
         unseen = (1 + 0.6 * t.sum(axis=0)) / (1 + counts.sum(axis=0)) * root * 0.3
         assert np.allclose(p.sum(axis=0) + unseen, 1)
-    assert state is list
 
 
 def test_tables_follow_the_restaurant_rule():
