@@ -63,16 +63,17 @@ SEVERITY_STAND_INS = {"model_a": 21, "model_b": 41, "model_c": 101}
 # Rows of the fits in the registered queries, about: Spark fits a tree level per
 # job, so trees cost the same seconds on few rows, and the scores are of all rows.
 FIT_ROWS = 2_000
+BOUNDED = {"max_fit_rows": FIT_ROWS, "partitions": 1}
 
 # An order without lines has no rate; it enters the models as 0.
 FILL = {"interest_rate": 0.0}
 
-# The grids with all their candidates; boosted trees, fitted one after the other,
-# are fewer per candidate than in the defaults of grid_search().
-FEWER_TREES = {"n_estimators": [10, 20]}
+# The grids with all their candidates; trees are fewer per candidate than in the
+# defaults of grid_search().
+FEWER_TREES = {GBT: {"n_estimators": [5, 10]}, FOREST: {"n_estimators": [10, 30]}}
 SEARCH_GRIDS = {
-    "pd": {**PD_GRIDS, GBT: {**PD_GRIDS[GBT], **FEWER_TREES}},
-    "lgd": {**LGD_GRIDS, GBT: {**LGD_GRIDS[GBT], **FEWER_TREES}},
+    "pd": {n: {**g, **FEWER_TREES.get(n, {})} for n, g in PD_GRIDS.items()},
+    "lgd": {n: {**g, **FEWER_TREES.get(n, {})} for n, g in LGD_GRIDS.items()},
 }
 
 
@@ -632,14 +633,14 @@ def training_data(spark: SparkSession, folder: str) -> Prepared:
 def quick_run(spark: SparkSession, folder: str) -> Run:
     """A run without boosted trees, which take longest."""
     models = {"pd_models": [LOGISTIC, FOREST], "lgd_models": [OLS, FOREST]}
-    return credit_run(encoded(spark, folder), search=False, max_fit_rows=FIT_ROWS, fill=FILL, **models)
+    return credit_run(encoded(spark, folder), search=False, **BOUNDED, fill=FILL, **models)
 
 
 def whole_run(spark: SparkSession, folder: str) -> Run:
     """All families with their default parameters."""
 
     def make() -> Run:
-        return credit_run(encoded(spark, folder), search=False, max_fit_rows=FIT_ROWS, fill=FILL)
+        return credit_run(encoded(spark, folder), search=False, **BOUNDED, fill=FILL)
 
     return shared(spark, folder, "run", make)
 
@@ -648,7 +649,7 @@ def searched(spark: SparkSession, folder: str, kind: str) -> dict[str, Search]:
     def make() -> dict[str, Search]:
         data = training_data(spark, folder)
         train = data.pd_train if kind == "pd" else data.lgd_train
-        return grid_search(train, kind, SEARCH_GRIDS[kind], max_fit_rows=FIT_ROWS)
+        return grid_search(train, kind, SEARCH_GRIDS[kind], **BOUNDED)
 
     return shared(spark, folder, f"search-{kind}", make)
 
@@ -690,7 +691,7 @@ def _search_checked(train: DataFrame, found: dict[str, Search]) -> DataFrame:
 @query
 def pd_baseline(spark: SparkSession, folder: str) -> DataFrame:
     data = training_data(spark, folder)
-    models = fit_default(data.pd_train, "pd", max_fit_rows=FIT_ROWS)
+    models = fit_default(data.pd_train, "pd", **BOUNDED)
     return _pd_checked(stage(pd_scores(models, data.pd_test, ["loan_id", "PD"]), "scores"))
 
 
@@ -713,7 +714,7 @@ def pd_final(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def lgd_baseline(spark: SparkSession, folder: str) -> DataFrame:
     data = training_data(spark, folder)
-    models = fit_default(data.lgd_train, "lgd", max_fit_rows=FIT_ROWS)
+    models = fit_default(data.lgd_train, "lgd", **BOUNDED)
     return _lgd_checked(stage(lgd_scores(models, data.lgd_test, ["loan_id", "LGD"]), "scores"))
 
 
@@ -725,7 +726,7 @@ def lgd_grid_search(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def lgd_final(spark: SparkSession, folder: str) -> DataFrame:
     data = training_data(spark, folder)
-    models = fit_default(data.lgd_train, "lgd", [OLS], max_fit_rows=FIT_ROWS)
+    models = fit_default(data.lgd_train, "lgd", [OLS], **BOUNDED)
     models |= {n: s.model for n, s in searched(spark, folder, "lgd").items()}
     return _lgd_checked(stage(lgd_scores(models, data.lgd_test, ["loan_id", "LGD"]), "scores"))
 
