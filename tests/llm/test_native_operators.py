@@ -175,6 +175,32 @@ def test_contexts_discover_what_the_patterns_miss(spark):
     assert all(got[i] == [] for i in range(12))
 
 
+UNSEEN = {
+    "phone": (["+1 (171) 555-20%02d" % i for i in range(8)], ["555-123-4567", "(555) 123 4567", "five-five-five"]),
+    "email": (["ann%d@mail.example.com" % i for i in range(8)], ["bob(at)example.com", "carol"]),
+    "ip": (["10.0.0.%d" % i for i in range(8)], ["fe80::1ff:fe23", "10.0.0.999"]),
+    "card": (["4111 1111 1111 1111", "4012888888881881", "5555555555554444", "5105105105105100", "378282246310005"],
+             ["4111 1111 1111 1112", "MCXXVIII"]),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(UNSEEN))
+def test_contexts_alone_reach_unseen_forms(spark, kind):
+    seeds, unseen = UNSEEN[kind]
+    texts = [f"then please reach {x} without delay" for x in [*seeds, *unseen]]
+    texts += [f"nothing to see at {w} today" for w in ("noon", "home", "555-000", "sea")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = personal_data.find_personal_data(docs, carry=["doc_id", "text"])
+    rows = found.select("row.*", "found").orderBy("doc_id").collect()
+    assert not plan_has_python(found)
+    for r in rows:
+        assert all(r.text[x.start : x.end] == x.text for x in r.found)
+    got = [[(x.kind, x.text) for x in r.found] for r in rows]
+    assert got == [[]] * len(seeds) + [[(kind, x)] for x in unseen] + [[]] * 4
+    clean = [r.text for r in personal_data.redact(docs).orderBy("doc_id").collect()]
+    assert clean[: -4] == [f"then please reach [{kind.upper()}] without delay"] * (len(seeds) + len(unseen))
+
+
 def test_redaction(clashing):
     out = personal_data.redact(clashing)
     assert out.columns == clashing.columns
