@@ -201,6 +201,30 @@ def test_contexts_alone_reach_unseen_forms(spark, kind):
     assert clean[: -4] == [f"then please reach [{kind.upper()}] without delay"] * (len(seeds) + len(unseen))
 
 
+def test_accepted_instances_make_new_contexts(spark):
+    """Seeds behind "reach"; names found there stand behind "badge"; what else stands there is found from those names."""
+    names, last = ["alba", "bruno", "carla", "dario"], ["emil", "fritz"]
+    texts = [f"then please reach ann{i}@mail.example.com without delay" for i in range(12)]
+    texts += [f"then please reach {n} without delay" for n in names]
+    texts += [f"who wears badge {n} inside" for n in [*names, *last]]
+    texts += ["emil was here", "the word inside alone"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = personal_data.find_personal_data(docs, carry=["doc_id"], accept=0.75)
+    got = [[x.text for x in r.found] for r in found.orderBy("row.doc_id").collect()]
+    assert got == [[]] * 12 + [[n] for n in [*names, *names, *last]] + [["emil"], []]
+
+
+def test_tokens_in_a_row_have_contexts(spark):
+    text = "ids 12345678 23456788"
+    base = personal_data.base_spans(F.lit(text))
+    rows = spark.range(1).select(F.col("id").alias("row_id"), F.lit(text).alias("text"), base.alias("base"))
+    got = {r.instance: (r.two, r.one, r.right) for r in personal_data.units(rows).collect()}
+    assert got["23456788"] == ("ids", "12345678", "")
+    cards = "ids 4111111111111111 4012888888881881 end"
+    spans = spark.range(1).select(personal_data.base_spans(F.lit(cards)).alias("b")).first().b
+    assert [(s.left, s.right) for s in spans if s.kind == "card"][1] == ("ids 4111111111111111 ", " end")
+
+
 def test_redaction(clashing):
     out = personal_data.redact(clashing)
     assert out.columns == clashing.columns
