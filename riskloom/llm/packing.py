@@ -8,8 +8,9 @@ within their length. The counts and the plan have a row per length, at most the
 longest permitted one, and per kind of bin.
 
 An item goes to the open bin with the least room that holds it, of any capacity.
-If none does, the capacity of least cost per token that holds it is opened. At
-the end every bin is downsized to the least permitted length of its contents.
+If none does, the capacity is opened that costs least per token it will hold:
+items of this size, and of what is smaller its share beyond the room still open.
+At the end every bin is downsized to the least permitted length of its contents.
 """
 
 from __future__ import annotations
@@ -59,6 +60,10 @@ def plan(counts: dict[int, int], capacities: tuple[int, ...] = CAPACITIES) -> li
     largest = capacities[-1]
     open_by_room: list[list[Bins]] = [[] for _ in range(largest + 1)]
     rooms: set[int] = set()
+    # Tokens in items of a size or less.
+    smaller = [0] * (largest + 1)
+    for size in range(1, largest + 1):
+        smaller[size] = smaller[size - 1] + size * counts.get(size, 0)
     for size in sorted(counts, reverse=True):
         left = counts[size]
         fits = sorted(r for r in rooms if r >= size)
@@ -77,14 +82,22 @@ def plan(counts: dict[int, int], capacities: tuple[int, ...] = CAPACITIES) -> li
             if not open_by_room[room]:
                 rooms.discard(room)
                 at += 1
-        if left:
-            capacity = min((c for c in capacities if c >= size), key=lambda c: (cost(c) / c, c))
-            each = capacity // size
-            for count, times in ((left // each, each), (1, left % each)):
-                if count and times:
-                    room = capacity - times * size
-                    open_by_room[room].append(Bins(capacity, count, ((size, times),)))
-                    rooms.add(room)
+        while left:
+            free = sum(r * b.count for r in rooms for b in open_by_room[r])
+
+            def rate(c: int) -> tuple[float, int]:
+                times = min(left, c // size)
+                room = c - times * size
+                spare = max(0, smaller[min(room, size - 1)] - free) // (left // times)
+                held = times * size + min(room, spare)
+                return cost(next(d for d in capacities if d >= held)) / held, c
+
+            capacity = min((c for c in capacities if c >= size), key=rate)
+            times = min(left, capacity // size)
+            room = capacity - times * size
+            open_by_room[room].append(Bins(capacity, left // times, ((size, times),)))
+            rooms.add(room)
+            left -= left // times * times
     out = [b for group in open_by_room for b in group if b.count]
     return [Bins(next(c for c in capacities if c >= b.used), b.count, b.sizes) for b in out]
 

@@ -222,6 +222,14 @@ def test_least_cost_capacity_is_opened():
     assert {b.capacity for b in packing.plan({1500: 1})} == {2048}
 
 
+@pytest.mark.parametrize("size, capacity, times", [(300, 1024, 3), (520, 2048, 3), (1030, 4096, 3)])
+def test_one_length_opens_what_it_fills(size, capacity, times):
+    bins = packing.plan({size: 3_000})
+    assert [(b.capacity, b.count, b.sizes) for b in bins] == [(capacity, 1_000, ((size, times),))]
+    # One left over does not keep a bin made for three.
+    assert sorted(b.capacity for b in packing.plan({size: 4})) == [min(c for c in packing.CAPACITIES if c >= size), capacity]
+
+
 def test_ranks_of_a_hot_group(spark, monkeypatch):
     monkeypatch.setattr(ranks, "ROWS_PER_PIECE", 10)
     rows = spark.range(2000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 5).alias("k"), F.xxhash64("id").alias("h"))
