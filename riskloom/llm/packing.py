@@ -71,7 +71,7 @@ def plan(counts: dict[int, int], capacities: tuple[int, ...] = CAPACITIES) -> li
         while left and at < len(fits):
             room = fits[at]
             bins = open_by_room[room].pop()
-            each = min(room // size, -(-left // bins.count)) if left > bins.count else 1
+            each = min(room // size, left)
             used = min(bins.count, left // each)
             if used < bins.count:
                 open_by_room[room].append(Bins(bins.capacity, bins.count - used, bins.sizes))

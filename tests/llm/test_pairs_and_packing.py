@@ -230,6 +230,13 @@ def test_one_length_opens_what_it_fills(size, capacity, times):
     assert sorted(b.capacity for b in packing.plan({size: 4})) == [min(c for c in packing.CAPACITIES if c >= size), capacity]
 
 
+def test_equal_bins_are_filled_one_by_one():
+    bins = packing.plan({2096: 100, 500: 150}, (4096,))
+    assert sorted((b.count, b.sizes) for b in bins) == [
+        (1, ((2096, 1), (500, 2))), (37, ((2096, 1), (500, 4))), (62, ((2096, 1),))
+    ]
+
+
 def test_ranks_of_a_hot_group(spark, monkeypatch):
     monkeypatch.setattr(ranks, "ROWS_PER_PIECE", 10)
     rows = spark.range(2000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 5).alias("k"), F.xxhash64("id").alias("h"))
