@@ -15,6 +15,9 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+# The small tables that the tests read.
+TABLES = "/root/testdata/sf0.001"
+
 
 def connect(folder: str):
     con = duckdb.connect()

@@ -1,8 +1,7 @@
 """Every registered query with an SQL twin, on the smallest tables."""
 
 import pytest
-from compare import connect, differences
-from conftest import TABLES
+from compare import TABLES, connect, differences
 
 from riskloom.plans.catalog import QUERIES
 from riskloom.plans.oracle import ORACLE

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import TABLES
+from compare import TABLES
 from pyspark.sql import functions as F
 
 from riskloom.operators import training as M

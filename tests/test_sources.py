@@ -182,7 +182,7 @@ def test_staging_removes_its_folders(spark, ten_loans):
 
 
 def test_loan_view_keeps_the_rows_of_the_orders(spark):
-    from conftest import TABLES
+    from compare import TABLES
 
     from riskloom.sources.tables import raw_loans
 
