@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import licenses, mixing, nearest, packing, personal_data, pitman_yor, quality_model, quality_rules, simhash, toxicity
+from riskloom.llm import licenses, mixing, nearest, packing, personal_data, pieces, pitman_yor, quality_model, quality_rules, simhash, toxicity
 from riskloom.llm.common import table
 
 
@@ -79,6 +79,16 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    found = pieces.encode_decode(table(spark, folder, "documents"))
+    return found.select(
+        "row.doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_license_scan": op2_license_scan,
@@ -90,6 +100,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_personal_data": op10_personal_data,
+    "op11_piece_encoding": op11_piece_encoding,
 }
 
 # SQL twins; the operators that SQL cannot express are tested against brute force.
