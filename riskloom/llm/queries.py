@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import licenses, mixing, nearest, packing, personal_data, pieces, pitman_yor, quality_model, quality_rules, simhash, toxicity
+from riskloom.llm import (
+    alignment,
+    licenses,
+    mixing,
+    nearest,
+    packing,
+    personal_data,
+    pieces,
+    pitman_yor,
+    quality_model,
+    quality_rules,
+    simhash,
+    toxicity,
+    whitening,
+)
 from riskloom.llm.common import table
 
 
@@ -89,6 +103,17 @@ def op11_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = alignment.align(table(spark, folder, "documents"))
+    counts = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return found.select("row.doc_id", *counts, F.col("digest").alias("groups_sha256"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_license_scan": op2_license_scan,
@@ -101,6 +126,8 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_personal_data": op10_personal_data,
     "op11_piece_encoding": op11_piece_encoding,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_whitening": op13_whitening,
 }
 
 # SQL twins; the operators that SQL cannot express are tested against brute force.
