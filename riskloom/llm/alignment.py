@@ -124,7 +124,7 @@ class Both:
         """Encode stretches that are not known yet."""
         encoded = self.a.encode_batch_fast(list(stretches), add_special_tokens=False)
         for stretch, found in zip(stretches, encoded):
-            ids = found.ids, self.b.encode(stretch.replace(" ", BLANK))
+            ids = found.ids, array("i", self.b.encode(stretch.replace(" ", BLANK)))
             raw = stretch.encode()
             fits = True
             for side, texts in enumerate((self.texts_a, self.texts_b)):

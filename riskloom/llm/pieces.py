@@ -11,10 +11,11 @@ when no prefix fits. Each prefix of a text has one encoding, so a position that
 failed once has failed for good; a bit per position remembers that, and a text
 of any length takes linear time.
 
-Blanks become U+2581 and one more is put before the text. A blank only ever
-begins a piece (that is checked when a model is read) and line ends are in none,
-so texts are cut before each run of blanks and around line ends; a task encodes
-every distinct cutting once.
+Blanks become U+2581 and one more is put before the text. Two characters that
+stand side by side in no piece are never joined, so a text may be cut between
+them beforehand: before runs of blanks, around line ends (both are checked when
+a model is read), and behind small letters. A task encodes what it remembers of
+these cuttings once.
 
 Null and empty texts have no ids and decode to an empty text. Texts of any
 length, repeated rows and null keys are kept, a row each.
@@ -23,6 +24,7 @@ length, repeated rows and null keys are kept, a row each.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -36,10 +38,13 @@ from riskloom.sources.csv_files import quoted
 BLANK = "▁"
 CUTTINGS = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n+")
 
+# Where a text changes from small letters to other characters it may be cut.
+CHANGES = re.compile("[a-z](?=[^a-z])")
+
 # Texts are worked on in blocks of about so many characters; remembered cuttings and
 # pairs are forgotten beyond their bounds. Neither changes a result.
 BLOCK_CHARS = 4_000_000
-MOST_CUTTINGS = 200_000
+MOST_CUTTINGS = 600_000
 MOST_PAIRS = 1_000_000
 LONGEST_KEPT = 64
 
@@ -87,14 +92,17 @@ class Encoder:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        if max(map(len, model.scores), default=0) > 255:
+        self.widest = max(map(len, model.scores), default=0)
+        if self.widest > 255:
             raise ValueError("pieces of up to 255 characters are supported")
         self.found = ahocorasick.Automaton()
         for piece in model.scores:
             self.found.add_word(piece, len(piece))
         self.found.make_automaton()
+        self.together = {p[i : i + 2] for p in model.scores for i in range(len(p) - 1)}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.prefixes: dict[str, str] = {}
+        self.known: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text, by merging."""
@@ -131,10 +139,12 @@ class Encoder:
 
     def cut(self, text: str) -> list[str]:
         """The pieces of a text; characters without a piece stand alone."""
-        n = len(text)
-        longest = bytearray(b"\x01") * n
-        for end, length in self.found.iter(text):
-            longest[end - length + 1] = length  # ends rise, so the last of a start is its longest
+        n, found = len(text), self.found
+        longest = bytearray(n)
+        for end, length in found.iter_long(text):
+            longest[end - length + 1] = length
+        if n and not longest[0]:
+            longest[0] = 1
         failed = bytearray(n // 8 + 1)
         pairs, parts = self.pairs, []
         at, left, piece = 0, "", text[: longest[0]]
@@ -150,6 +160,9 @@ class Encoder:
                 parts.append(piece)
                 at, left = end, piece
                 if at < n:
+                    if not longest[at]:  # off the way of the scan: one of its own for the next characters
+                        last, size = next(found.iter_long(text[at : at + self.widest]), (0, 0))
+                        longest[at] = size if size == last + 1 else 1
                     piece = text[at : at + longest[at]]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
@@ -158,16 +171,39 @@ class Encoder:
                 piece = self.shorter(last)
         return parts
 
-    def encode(self, text: str) -> list[int]:
-        """The ids of a text in which blanks are U+2581 already."""
-        ids, bytes_, out = self.model.ids, self.model.byte_ids, []
-        for piece in self.cut(text):
-            known = ids.get(piece)
+    def encode(self, text: str) -> bytes:
+        """The ids (4 bytes each) of a text in which blanks are U+2581 already."""
+        ids, together, out, start = self.model.ids, self.together, [], 0
+        apart = [m.end() for m in CHANGES.finditer(text) if text[m.start() : m.end() + 1] not in together]
+        for stop in [*apart, len(text)]:
+            part, start = text[start:stop], stop
+            known = self.known.get(part)
             if known is None:
-                out.extend(bytes_[b] for b in piece.encode())
-            else:
-                out.append(known)
-        return out
+                own: list[int] = []
+                for piece in self.cut(part):
+                    i = ids.get(piece)
+                    own += [i] if i is not None else [self.model.byte_ids[b] for b in piece.encode()]
+                known = array("i", own).tobytes()
+                if len(part) <= LONGEST_KEPT:
+                    if len(self.known) >= MOST_CUTTINGS:
+                        self.known.clear()
+                    self.known[part] = known
+            out.append(known)
+        return b"".join(out)
+
+    def encode_text(self, text: str, cuttings: dict[str, bytes]) -> np.ndarray:
+        """The ids of a whole text; ``cuttings`` remembers those of its parts between blanks."""
+        parts = CUTTINGS.findall(BLANK + text.replace(" ", BLANK)) if text else []
+        if len(cuttings) >= MOST_CUTTINGS:
+            cuttings.clear()
+        found = list(map(cuttings.get, parts))
+        if None in found:
+            for i, part in enumerate(parts):
+                if found[i] is None:
+                    found[i] = cuttings.get(part) or self.encode(part)
+                    if len(part) <= LONGEST_KEPT:
+                        cuttings[part] = found[i]
+        return np.frombuffer(b"".join(found), dtype=np.int32)
 
 
 class Decoder:
@@ -259,28 +295,14 @@ def encode_decode(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(model), Decoder(model)
-        known: dict[str, list[int]] = {}
+        cuttings: dict[str, bytes] = {}
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in blocks(texts):
-                lists = []
-                for t in texts[a:b]:
-                    ids: list[int] = []
-                    for part in CUTTINGS.findall(BLANK + t.replace(" ", BLANK)) if t else ():
-                        own = known.get(part)
-                        if own is None:
-                            own = encoder.encode(part)
-                            if len(known) >= MOST_CUTTINGS:
-                                known.clear()
-                            if len(part) <= LONGEST_KEPT:
-                                known[part] = own
-                        ids += own
-                    lists.append(ids)
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-                flat = np.fromiter((i for x in lists for i in x), dtype=np.int32, count=int(offsets[-1]))
-                yield pa.record_batch(
-                    [batch.column("row").slice(a, b - a), pa.ListArray.from_arrays(offsets, flat), pa.array([decoder.decode(x) for x in lists], pa.string())],
-                    names=["row", "ids", "decoded"],
-                )
+                ids = [encoder.encode_text(t, cuttings) for t in texts[a:b]]
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                decoded = [decoder.decode(x.tolist()) for x in ids]
+                arrays = [pa.ListArray.from_arrays(offsets, np.concatenate(ids)), pa.array(decoded, pa.string())]
+                yield pa.record_batch([batch.column("row").slice(a, b - a), *arrays], names=["row", "ids", "decoded"])
 
     return given.mapInArrow(run, out)
