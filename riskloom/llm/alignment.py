@@ -40,9 +40,19 @@ from riskloom.sources.csv_files import quoted
 
 # White space as Unicode defines it; A never joins a token over a change from other characters to these.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Nor does it over a change from letters to these signs, so a word is cut from a sign behind it.
 # Pieces of B may hold a carriage return after other characters, so no cut is made before one.
-STRETCHES = re.compile(f"[{SPACES}]*[^{SPACES}]+(?:\r[{SPACES}]*[^{SPACES}]*)*|[{SPACES}]+")
-CUT_BEFORE = re.compile(f"[^{SPACES}{BLANK}](?!\r)[{SPACES}]")
+STRETCHES = re.compile(
+    f"[{SPACES}]*+[A-Za-z]++(?<=[a-z])(?=[.,;:!?])|[{SPACES}]*[^{SPACES}]+(?:\r[{SPACES}]*[^{SPACES}]*)*|[{SPACES}]+"
+)
+CUT_BEFORE = re.compile(f"[^{SPACES}{BLANK}](?!\r)[{SPACES}]|[a-z][.,;:!?]")
+
+# Stretches whose tokens do not depend on what stands before or behind; so many are encoded together.
+PLAIN = re.compile(f" [^{BLANK}]*[^{SPACES}{BLANK}]")
+TOGETHER = 2_000
+
+# Characters per block of texts; bounds the memory of a task.
+BLOCK = 1_000_000
 
 # Ends of tokens per piece.
 WORK = 32_768
@@ -54,7 +64,7 @@ MOST_SENT = 1 << 18
 WIDE = 4_096
 
 # Remembered stretches; the longer ones are not kept. Neither changes a result.
-MOST_STRETCHES = 300_000
+MOST_STRETCHES = 600_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -67,23 +77,24 @@ def byte_alphabet() -> dict[str, int]:
 
 @dataclass(frozen=True)
 class Tokenizers:
-    """What tasks need of both: the byte-level tokenizer's file as text, and the piece model."""
+    """What tasks need of both: the files' contents, and the piece model that was read from the second."""
 
     a: str
+    b_file: bytes
     b: PieceModel
 
 
 def read_tokenizers(path_a: str | None = None, path_b: str | None = None) -> Tokenizers:
     """Both files, read on the driver; the defaults are the public byte-level 50k and piece 32k files."""
-    if path_a is None:
-        import public_tokenizers
+    import public_tokenizers
 
-        path_a = public_tokenizers.path("byte_bpe_50k.json")
+    path_a = path_a or public_tokenizers.path("byte_bpe_50k.json")
+    path_b = path_b or public_tokenizers.path("piece_bpe_32k.model")
     model = read_model(path_b)
     if any(CUT_BEFORE.search(p) for p in model.scores):
-        raise ValueError("a piece holds white space after other characters")
-    with open(path_a, encoding="utf-8") as file:
-        return Tokenizers(file.read(), model)
+        raise ValueError("a piece of B reaches over the end of a word")
+    with open(path_a, encoding="utf-8") as a, open(path_b, "rb") as b:
+        return Tokenizers(a.read(), b.read(), model)
 
 
 class Both:
@@ -91,11 +102,13 @@ class Both:
 
     def __init__(self, files: Tokenizers):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import sentencepiece
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(files.a)
         self.a.encode_special_tokens = True
-        self.b = Encoder(files.b)
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=files.b_file)
+        self.inner = Encoder(files.b)
         byte = byte_alphabet()
         vocabulary = self.a.get_vocab()
         self.texts_a = [b""] * (max(vocabulary.values()) + 1)
@@ -120,28 +133,73 @@ class Both:
         self.sizes = (array("i"), array("i"))
         self.fits = array("b")
 
+    def alone(self, stretches: Sequence[str], side: int) -> list[list[int]]:
+        """Ids of each stretch by itself; the library of B would put a blank in front of it."""
+        if side == 0:
+            return [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
+        return [np.frombuffer(self.inner.encode(s.replace(" ", BLANK)), dtype=np.int32).tolist() for s in stretches]
+
+    def joined(self, stretches: Sequence[str], side: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of stretches that begin with a blank and end without, encoded as one text, and their
+        numbers; None if a token should reach over an end."""
+        text = "".join(stretches)
+        if side == 0:
+            ids = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        else:
+            ids = self.b.encode(text[1:])  # puts the first blank in front itself
+        ids = np.array(ids, dtype=np.int32)
+        ends = np.cumsum(self.lengths[side][ids])
+        stops = np.cumsum([len(s.encode()) for s in stretches])
+        last = np.searchsorted(ends, stops)
+        if last[-1] != len(ends) - 1 or (ends[last] != stops).any():
+            return None
+        return ids, np.diff(last, prepend=-1)
+
     def learn(self, stretches: Sequence[str]) -> None:
-        """Encode stretches that are not known yet."""
-        encoded = self.a.encode_batch_fast(list(stretches), add_special_tokens=False)
-        for stretch, found in zip(stretches, encoded):
-            ids = found.ids, array("i", self.b.encode(stretch.replace(" ", BLANK)))
-            raw = stretch.encode()
-            fits = True
+        """Encode stretches that are not known yet, most of them as a text."""
+        plain, other = [], []
+        for s in stretches:
+            (plain if PLAIN.fullmatch(s) else other).append(s)
+        for at in range(0, len(plain), TOGETHER):
+            part = plain[at : at + TOGETHER]
+            found = [self.joined(part, side) for side in (0, 1)]
+            if found[0] is None or found[1] is None:
+                other += part
+                continue
+            raw = "".join(part).encode()
+            texts = (self.texts_a, self.texts_b)
+            if any(b"".join(map(texts[side].__getitem__, found[side][0].tolist())) != raw for side in (0, 1)):
+                other += part
+                continue
+            for side in (0, 1):
+                self.flat[side].frombytes(found[side][0].tobytes())
+                self.sizes[side].frombytes(found[side][1].astype(np.int32).tobytes())
+            self.keep(part, [True] * len(part))
+        if other:
+            fits = [True] * len(other)
             for side, texts in enumerate((self.texts_a, self.texts_b)):
-                fits &= b"".join(map(texts.__getitem__, ids[side])) == raw
-                self.flat[side].extend(ids[side])
-                self.sizes[side].append(len(ids[side]))
-            self.codes[stretch] = len(self.fits)
-            self.fits.append(fits)
+                ids = self.alone(other, side)
+                self.flat[side].extend(chain.from_iterable(ids))
+                self.sizes[side].extend(map(len, ids))
+                fits = [f and b"".join(map(texts.__getitem__, own)) == s.encode() for f, own, s in zip(fits, ids, other)]
+            self.keep(other, fits)
+
+    def keep(self, stretches: Sequence[str], fits: Sequence[bool]) -> None:
+        self.codes.update(zip(stretches, range(len(self.fits), len(self.fits) + len(stretches))))
+        self.fits.extend(fits)
 
     def tokens(self, texts: Sequence[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and of B over all texts, and the first token of each text in either, with the totals."""
         if len(self.codes) > MOST_STRETCHES:
             self.forget()
         lists = [STRETCHES.findall(" " + t) if t else [] for t in texts]
-        self.learn([s for s in set(chain.from_iterable(lists)) if s not in self.codes])
         counts = np.array([len(x) for x in lists], dtype=np.int64)
-        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(lists)), dtype=np.int64, count=int(counts.sum()))
+        flat_list = list(chain.from_iterable(lists))
+        found = list(map(self.codes.get, flat_list))
+        if None in found:
+            self.learn(list({s for s, c in zip(flat_list, found) if c is None}))
+            found = [self.codes[s] if c is None else c for s, c in zip(flat_list, found)]
+        codes = np.array(found, dtype=np.int64)
         doc = np.repeat(np.arange(len(texts)), counts)
         wrong = np.bincount(doc, weights=np.array(self.fits)[codes] == 0, minlength=len(texts)) > 0
         keep = ~wrong[doc]
@@ -392,7 +450,7 @@ def groups(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "tex
         both = Both(files)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for start, stop in blocks(texts):
+            for start, stop in blocks(texts, BLOCK):
                 ids, firsts = both.tokens(texts[start:stop])
                 ends = [np.cumsum(both.lengths[side][ids[side]]) for side in (0, 1)]
                 doc, columns = overlaps(ids, ends, firsts, both, work)

@@ -45,6 +45,7 @@ CHANGES = re.compile("[a-z](?=[^a-z])")
 # pairs are forgotten beyond their bounds. Neither changes a result.
 BLOCK_CHARS = 4_000_000
 MOST_CUTTINGS = 600_000
+MOST_PARTS = 100_000
 MOST_PAIRS = 1_000_000
 LONGEST_KEPT = 64
 
@@ -185,7 +186,7 @@ class Encoder:
                     own += [i] if i is not None else [self.model.byte_ids[b] for b in piece.encode()]
                 known = array("i", own).tobytes()
                 if len(part) <= LONGEST_KEPT:
-                    if len(self.known) >= MOST_CUTTINGS:
+                    if len(self.known) >= MOST_PARTS:
                         self.known.clear()
                     self.known[part] = known
             out.append(known)
