@@ -52,7 +52,7 @@ PLAIN = re.compile(f" [^{BLANK}]*[^{SPACES}{BLANK}]")
 TOGETHER = 2_000
 
 # Characters per block of texts; bounds the memory of a task.
-BLOCK = 1_000_000
+BLOCK = 500_000
 
 # Ends of tokens per piece.
 WORK = 32_768
@@ -64,7 +64,7 @@ MOST_SENT = 1 << 18
 WIDE = 4_096
 
 # Remembered stretches; the longer ones are not kept. Neither changes a result.
-MOST_STRETCHES = 600_000
+MOST_STRETCHES = 400_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -429,7 +429,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder, tightly packed, and read back."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -449,9 +449,8 @@ def groups(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = Both(files)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, stop in blocks(texts, BLOCK):
-                ids, firsts = both.tokens(texts[start:stop])
+            for start, texts in blocks(batch.column("text"), BLOCK):
+                ids, firsts = both.tokens(texts)
                 ends = [np.cumsum(both.lengths[side][ids[side]]) for side in (0, 1)]
                 doc, columns = overlaps(ids, ends, firsts, both, work)
                 own = pa.array(doc + start)

@@ -31,6 +31,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskloom.sources.csv_files import quoted
@@ -261,16 +262,14 @@ def _whole(part: bytearray, n: int) -> bool:
         return False
 
 
-def blocks(texts: Sequence[str], most: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
-    """Cuts a batch where its texts sum up to about ``most`` characters."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= most:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def blocks(texts: pa.Array, most: int = BLOCK_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """A batch of texts in blocks of about ``most`` characters, each with its first row."""
+    ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most)) + 1
+        yield start, texts.slice(start, stop - start).to_pylist()
+        start = stop
 
 
 def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -298,12 +297,11 @@ def encode_decode(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str
         encoder, decoder = Encoder(model), Decoder(model)
         cuttings: dict[str, bytes] = {}
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in blocks(texts):
-                ids = [encoder.encode_text(t, cuttings) for t in texts[a:b]]
+            for first, texts in blocks(batch.column("text")):
+                ids = [encoder.encode_text(t, cuttings) for t in texts]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 decoded = [decoder.decode(x.tolist()) for x in ids]
                 arrays = [pa.ListArray.from_arrays(offsets, np.concatenate(ids)), pa.array(decoded, pa.string())]
-                yield pa.record_batch([batch.column("row").slice(a, b - a), *arrays], names=["row", "ids", "decoded"])
+                yield pa.record_batch([batch.column("row").slice(first, len(texts)), *arrays], names=["row", "ids", "decoded"])
 
     return given.mapInArrow(run, out)
