@@ -9,7 +9,6 @@ from pyspark.sql import SparkSession
 
 from riskloom.operators.encode import MAX_LEVELS
 from riskloom.operators.evaluate import OPERATING_THRESHOLD
-from riskloom.operators.training import FIT_PARTITIONS
 from riskloom.plans.jobs import prepare_job, profile_job, run_job
 from riskloom.sources.csv_files import MissingInput
 
@@ -42,7 +41,7 @@ def main() -> int:
     run.add_argument("--thresholds", type=float, nargs="+", help="thresholds of the sweep")
     run.add_argument("--threshold", type=float, default=OPERATING_THRESHOLD, help="operating point")
     run.add_argument("--max-fit-rows", type=int, help="rows used to fit, about; all if absent")
-    run.add_argument("--partitions", type=int, default=FIT_PARTITIONS, help="partitions of a fit")
+    run.add_argument("--partitions", type=int, help="partitions of a fit; from the rows if absent")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("riskloom").getOrCreate()

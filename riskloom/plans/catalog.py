@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -23,16 +24,12 @@ from riskloom.operators.scale import fit_scale, scaled
 from riskloom.operators.split import exact_train_test_split, is_test, train_test_split, with_folds
 from riskloom.operators.training import (
     FOREST,
-    GBT,
     LGD_GRIDS,
     LGD_MODELS,
-    LOGISTIC,
     OLS,
     PD_GRIDS,
     PD_MODELS,
     Search,
-    fit_default,
-    grid_search,
     lgd_scores,
     load_model,
     pd_scores,
@@ -40,7 +37,7 @@ from riskloom.operators.training import (
     save_model,
     search_table,
 )
-from riskloom.plans.credit_run import Prepared, Run, credit_run, prepare_training
+from riskloom.plans.credit_run import Run, credit_run
 from riskloom.plans.prepare import clean_loans, encoded_loans
 from riskloom.session import scratch_path, stage
 from riskloom.sources.csv_files import join_by_position, quoted, read_csv, write_csv
@@ -60,21 +57,17 @@ STAND_INS = {"model_a": (300, 42), "model_b": (200, 43), "model_c": (100, 44), "
 # Stand-in severity models: the width of their error, in quarters of a percent.
 SEVERITY_STAND_INS = {"model_a": 21, "model_b": 41, "model_c": 101}
 
-# Rows of the fits in the registered queries, about: Spark fits a tree level per
-# job, so trees cost the same seconds on few rows, and the scores are of all rows.
+# Rows of the fits in the registered queries, about. Classifiers and the forests of
+# the severity are bounded (a forest of 300 unlimited trees over all severities has
+# seven million nodes); the other severity models take all rows. All rows are scored.
 FIT_ROWS = 2_000
-BOUNDED = {"max_fit_rows": FIT_ROWS, "partitions": 1}
+BOUNDED = {"max_fit_rows": {"pd": FIT_ROWS, "lgd": {FOREST: FIT_ROWS}}}
 
 # An order without lines has no rate; it enters the models as 0.
 FILL = {"interest_rate": 0.0}
 
-# The grids with all their candidates; trees are fewer per candidate than in the
-# defaults of grid_search().
-FEWER_TREES = {GBT: {"n_estimators": [5, 10]}, FOREST: {"n_estimators": [10, 30]}}
-SEARCH_GRIDS = {
-    "pd": {n: {**g, **FEWER_TREES.get(n, {})} for n, g in PD_GRIDS.items()},
-    "lgd": {n: {**g, **FEWER_TREES.get(n, {})} for n, g in LGD_GRIDS.items()},
-}
+# The whole grids.
+SEARCH_GRIDS = {"pd": PD_GRIDS, "lgd": LGD_GRIDS}
 
 
 def query(f: Query) -> Query:
@@ -626,34 +619,24 @@ def shared(spark: SparkSession, folder: str, name: str, make: Callable[[], objec
     return _fitted[key]
 
 
-def training_data(spark: SparkSession, folder: str) -> Prepared:
-    return shared(spark, folder, "data", lambda: prepare_training(encoded(spark, folder), fill=FILL))
-
-
 def quick_run(spark: SparkSession, folder: str) -> Run:
-    """A run without boosted trees, which take longest."""
-    models = {"pd_models": [LOGISTIC, FOREST], "lgd_models": [OLS, FOREST]}
-    return credit_run(encoded(spark, folder), search=False, **BOUNDED, fill=FILL, **models)
+    """A run of all families with their default parameters."""
+    return credit_run(encoded(spark, folder), search=False, **BOUNDED, fill=FILL)
 
 
 def whole_run(spark: SparkSession, folder: str) -> Run:
-    """All families with their default parameters."""
+    """All families with their default parameters and the whole search of both kinds.
+
+    It is made once per session and folder: every query of a model shows a part of it.
+    """
 
     def make() -> Run:
-        return credit_run(encoded(spark, folder), search=False, **BOUNDED, fill=FILL)
+        grids = {"pd_grids": SEARCH_GRIDS["pd"], "lgd_grids": SEARCH_GRIDS["lgd"]}
+        return credit_run(encoded(spark, folder), **grids, **BOUNDED, fill=FILL)
 
     return shared(spark, folder, "run", make)
 
 
-def searched(spark: SparkSession, folder: str, kind: str) -> dict[str, Search]:
-    def make() -> dict[str, Search]:
-        data = training_data(spark, folder)
-        train = data.pd_train if kind == "pd" else data.lgd_train
-        return grid_search(train, kind, SEARCH_GRIDS[kind], **BOUNDED)
-
-    return shared(spark, folder, f"search-{kind}", make)
-
-
 def _sorted_by(board: DataFrame, measure: str, largest: bool) -> bool:
     """Whether the few rows of a leaderboard stand in order."""
     values = [r[measure] for r in board.collect()]
@@ -690,21 +673,20 @@ def _search_checked(train: DataFrame, found: dict[str, Search]) -> DataFrame:
 
 @query
 def pd_baseline(spark: SparkSession, folder: str) -> DataFrame:
-    data = training_data(spark, folder)
-    models = fit_default(data.pd_train, "pd", **BOUNDED)
-    return _pd_checked(stage(pd_scores(models, data.pd_test, ["loan_id", "PD"]), "scores"))
+    run = whole_run(spark, folder)
+    return _pd_checked(stage(pd_scores(run.pd_fits.base, run.data.pd_test, ["loan_id", "PD"]), "scores"))
 
 
 @query
 def pd_grid_search(spark: SparkSession, folder: str) -> DataFrame:
-    return _search_checked(training_data(spark, folder).pd_train, searched(spark, folder, "pd"))
+    run = whole_run(spark, folder)
+    return _search_checked(run.data.train, run.pd_fits.searches)
 
 
 @query
 def pd_final(spark: SparkSession, folder: str) -> DataFrame:
-    models = {n: s.model for n, s in searched(spark, folder, "pd").items()}
-    test = training_data(spark, folder).pd_test
-    scores = stage(pd_scores(models, test, ["loan_id", "PD"]), "scores")
+    run = whole_run(spark, folder)
+    scores = stage(pd_scores(run.pd_models, run.data.pd_test, ["loan_id", "PD"]), "scores")
     report = E.classification_report(scores, by=["model"])
     cells = E.confusion(scores, by=["model"]).select("model", (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("loans"))
     areas = E.roc_auc(scores, by=["model"]).select("model", F.col("roc_auc").between(0, 1).alias("area_in_range"))
@@ -713,22 +695,20 @@ def pd_final(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def lgd_baseline(spark: SparkSession, folder: str) -> DataFrame:
-    data = training_data(spark, folder)
-    models = fit_default(data.lgd_train, "lgd", **BOUNDED)
-    return _lgd_checked(stage(lgd_scores(models, data.lgd_test, ["loan_id", "LGD"]), "scores"))
+    run = whole_run(spark, folder)
+    return _lgd_checked(stage(lgd_scores(run.lgd_fits.base, run.data.lgd_test, ["loan_id", "LGD"]), "scores"))
 
 
 @query
 def lgd_grid_search(spark: SparkSession, folder: str) -> DataFrame:
-    return _search_checked(training_data(spark, folder).lgd_train, searched(spark, folder, "lgd"))
+    run = whole_run(spark, folder)
+    return _search_checked(run.data.train, run.lgd_fits.searches)
 
 
 @query
 def lgd_final(spark: SparkSession, folder: str) -> DataFrame:
-    data = training_data(spark, folder)
-    models = fit_default(data.lgd_train, "lgd", [OLS], **BOUNDED)
-    models |= {n: s.model for n, s in searched(spark, folder, "lgd").items()}
-    return _lgd_checked(stage(lgd_scores(models, data.lgd_test, ["loan_id", "LGD"]), "scores"))
+    run = whole_run(spark, folder)
+    return _lgd_checked(stage(lgd_scores(run.lgd_models, run.data.lgd_test, ["loan_id", "LGD"]), "scores"))
 
 
 @query
@@ -761,10 +741,36 @@ def expected_loss_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def run_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    meta = whole_run(spark, folder).metadata
-    return meta.select(
-        F.col("pd_model").isin(PD_MODELS).alias("pd_family"),
-        F.col("lgd_model").isin(LGD_MODELS).alias("lgd_family"),
+    """All fields of the run's document: as they are where SQL knows them, else against the run's tables.
+
+    The figures must equal those of the boards, searches and scores they come
+    from, and the parameters must be a point of the chosen family's grid.
+    """
+    run = whole_run(spark, folder)
+    meta = run.metadata.first()
+    pd_search, lgd_search = run.pd_fits.searches[meta["pd_model"]], run.lgd_fits.searches.get(meta["lgd_model"])
+    point = E.binary_metrics(E.flagged(run.scored, "p", meta["pd_threshold"]), "PD", "flag").first()
+    lgd = run.lgd_board.filter(F.col("model") == meta["lgd_model"]).first()
+    total = run.scored.agg(F.sum("el").alias("el"), F.sum("EAD").alias("ead")).first()
+    own = lambda search: {k: json.dumps(v) for k, v in search.params.items()} if search else {}
+    near = lambda field, value, digits: meta[field] is not None and abs(meta[field] - value) <= 0.5001 * 10**-digits
+    grid = SEARCH_GRIDS["pd"][meta["pd_model"]]
+    checked = {
+        "pd_cv_auc": near("pd_cv_auc", pd_search.score, 4),
+        "pd_best_params": meta["pd_best_params"] == own(pd_search) and all(json.loads(v) in grid[k] for k, v in meta["pd_best_params"].items()),
+        "lgd_best_params": meta["lgd_best_params"] == own(lgd_search),
+        "pd_test_precision": near("pd_test_precision", point["precision"], 3),
+        "pd_test_recall": near("pd_test_recall", point["recall"], 3),
+        "pd_test_f1": near("pd_test_f1", point["f1"], 3),
+        "lgd_mae": near("lgd_mae", lgd["mae"], 4),
+        "lgd_rmse": near("lgd_rmse", lgd["rmse"], 4),
+        "expected_loss": near("expected_loss", total["el"], 2),
+        "expected_loss_pct": near("expected_loss_pct", total["el"] / total["ead"], 4),
+        "spark_version": meta["spark_version"] == spark.version,
+    }
+    return run.metadata.select(
+        (F.col("pd_model") == B.best_model(run.pd_board, "roc_auc", True, PD_MODELS).first()["model"]).alias("pd_model"),
+        (F.col("lgd_model") == B.best_model(run.lgd_board, "mae", False, LGD_MODELS).first()["model"]).alias("lgd_model"),
         "trained_on",
         "dataset",
         "pd_threshold",
@@ -772,16 +778,17 @@ def run_metadata(spark: SparkSession, folder: str) -> DataFrame:
         "positive_class",
         "positive_label",
         "max_fit_rows",
+        *[F.lit(bool(v)).alias(c) for c, v in checked.items()],
     )
 
 
 @query
 def model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Per test loan, the families whose saved and re-loaded model scores as the fitted one."""
-    data = training_data(spark, folder)
-    out, same = data.test, []
-    for i, (_, search) in enumerate(searched(spark, folder, "pd").items()):
-        model = PipelineModel([*data.pd_features.stages, search.model])
+    run = whole_run(spark, folder)
+    out, same = run.data.test, []
+    for i, fitted in enumerate(run.pd_models.values()):
+        model = PipelineModel([*run.data.pd_features.stages, fitted])
         path = scratch_path(spark, "model")
         save_model(model, path)
         own = [quoted(c) for c in out.columns]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.functions.numeric import count_where, half_even
@@ -25,14 +27,16 @@ from riskloom.operators.loss import expected_loss, loss_summary
 from riskloom.operators.scale import fit_scale
 from riskloom.operators.split import exact_train_test_split, train_test_split
 from riskloom.operators.training import (
-    FIT_PARTITIONS,
+    LGD_GRIDS,
     LGD_MODELS,
     OLS,
+    PD_GRIDS,
     PD_MODELS,
+    Fitted,
     Search,
     assemble,
     fit_default,
-    grid_search,
+    fit_models,
     lgd_scores,
     pd_scores,
     score_portfolio,
@@ -61,6 +65,8 @@ class Run:
 
     The base boards are those of the default parameters; with a search the
     boards are those of the tuned models, without one they are the base boards.
+    ``pd_fits`` and ``lgd_fits`` hold the models of the default parameters and the
+    searches, ``pd_models`` and ``lgd_models`` those that the choice is among.
     ``pd_report`` and ``pd_confusion`` have a part per model; ``flagged`` sets
     the loans flagged at the operating point against the defaulted ones.
     """
@@ -78,6 +84,11 @@ class Run:
     flagged: DataFrame
     summary: DataFrame
     metadata: DataFrame
+    data: Prepared
+    pd_fits: Fitted
+    lgd_fits: Fitted
+    pd_models: dict[str, Model]
+    lgd_models: dict[str, Model]
 
 
 def prepare_training(
@@ -148,26 +159,38 @@ def credit_run(
     fill: Mapping[str, float] | None = None,
     exact: bool = False,
     stratify: str | None = None,
-    max_fit_rows: int | None = None,
-    partitions: int = FIT_PARTITIONS,
+    max_fit_rows: int | Mapping | None = None,
+    partitions: int | None = None,
 ) -> Run:
-    """The whole run. ``search=False`` takes default parameters instead of the grids."""
+    """The whole run. ``search=False`` takes default parameters instead of the grids.
+
+    ``max_fit_rows`` may differ by kind (``pd``, ``lgd``), and by family inside.
+    Models of both kinds are fitted at the same time.
+    """
     data = prepare_training(encoded, key, seed, fill, exact, stratify)
-    fitting = {"seed": seed, "key": key, "partitions": partitions, "max_fit_rows": max_fit_rows}
-    pd_searches: dict[str, Search] = {}
-    lgd_searches: dict[str, Search] = {}
-    pd_fitted = pd_base = fit_default(data.pd_train, "pd", pd_models, params, **fitting)
-    lgd_fitted = lgd_base = fit_default(data.lgd_train, "lgd", lgd_models, params, **fitting)
+    most = max_fit_rows if isinstance(max_fit_rows, Mapping) else {"pd": max_fit_rows, "lgd": max_fit_rows}
+    fitting = {"seed": seed, "key": key, "partitions": partitions}
+    kinds = {
+        "pd": (data.pd_train, pd_models, (PD_GRIDS if pd_grids is None else pd_grids) if search else {}),
+        "lgd": (data.lgd_train, lgd_models, (LGD_GRIDS if lgd_grids is None else lgd_grids) if search else {}),
+    }
+
+    def fitted(kind: str) -> Fitted:
+        train, models, grids = kinds[kind]
+        return fit_models(train, kind, models, params, grids, max_fit_rows=most.get(kind), **fitting)
+
+    with ThreadPoolExecutor(2) as pool:
+        pd_fits, lgd_fits = pool.map(inheritable_thread_target(encoded.sparkSession)(fitted), kinds)
+    pd_searches, lgd_searches = pd_fits.searches, lgd_fits.searches
+    pd_fitted, lgd_fitted = pd_base, lgd_base = pd_fits.base, lgd_fits.base
     pd_test = stage(pd_scores(pd_base, data.pd_test, [key, "PD"]), "pd-scores")
     lgd_test = stage(lgd_scores(lgd_base, data.lgd_test, [key, "LGD"]), "lgd-scores")
     pd_base_board, lgd_base_board = pd_leaderboard(pd_test), lgd_leaderboard(lgd_test)
     pd_board, lgd_board = pd_base_board, lgd_base_board
     if search:
-        pd_searches = grid_search(data.pd_train, "pd", pd_grids, **fitting)
-        lgd_searches = grid_search(data.lgd_train, "lgd", lgd_grids, **fitting)
         pd_fitted = {n: s.model for n, s in pd_searches.items()}
         lgd_fitted = {n: m for n, m in lgd_base.items() if n == OLS} or fit_default(
-            data.lgd_train, "lgd", [OLS], **fitting
+            data.lgd_train, "lgd", [OLS], max_fit_rows=most.get("lgd"), **fitting
         )
         lgd_fitted |= {n: s.model for n, s in lgd_searches.items()}
         pd_test = stage(pd_scores(pd_fitted, data.pd_test, [key, "PD"]), "pd-scores")
@@ -195,7 +218,7 @@ def credit_run(
         lgd_board.filter(F.col("model") == lgd_name),
         summary,
         dataset,
-        max_fit_rows,
+        most.get("pd") if not isinstance(most.get("pd"), Mapping) else None,
     )
     return Run(
         pd_model,
@@ -211,6 +234,11 @@ def credit_run(
         flagged_against_actual(flagged(scored, "p", threshold)),
         summary,
         metadata,
+        data,
+        pd_fits,
+        lgd_fits,
+        pd_fitted,
+        lgd_fitted,
     )
 
 

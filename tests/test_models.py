@@ -68,7 +68,9 @@ def test_parameters():
         with pytest.raises(ValueError, match="no counterpart"):
             M.classifier(M.TREE, 10, **asked)
     with pytest.raises(ValueError, match="no parameter"):
-        M._spark_params(M.GBT, {"leaves": 3}, 10)
+        M._spark_params(M.FOREST, {"leaves": 3}, 10)
+    with pytest.raises(ValueError, match="no PD model"):
+        M.classifier(M.GBT, 10)
 
 
 def test_parameter_mapping(spark):
@@ -98,12 +100,28 @@ def test_grid_search(data):
     assert lgd[M.TREE].params == {"max_depth": 8} and lgd[M.TREE].score > 0
 
 
+def test_numbers_of_trees_are_judged_by_prefixes(data):
+    """A search over numbers of trees scores each as a search of that number alone does."""
+    few = {M.GBT: {"learning_rate": [0.1, 0.3], "max_depth": [3], "n_estimators": [2, 5]}, M.FOREST: {"n_estimators": [3, 8], "max_depth": [4]}}
+    whole = M.fit_models(data.lgd_train, "lgd", [M.GBT], {M.GBT: {"n_estimators": 4}}, few)
+    assert whole.searches[M.GBT].candidates == 4 and whole.searches[M.FOREST].candidates == 2
+    alone = [
+        M.grid_search(data.lgd_train, "lgd", {M.GBT: {"learning_rate": [rate], "max_depth": [3], "n_estimators": [n]}})[M.GBT]
+        for rate in (0.1, 0.3) for n in (2, 5)
+    ]
+    best = min(alone, key=lambda s: s.score)
+    assert whole.searches[M.GBT].params == best.params and whole.searches[M.GBT].score == pytest.approx(best.score, rel=1e-9)
+    assert whole.searches[M.GBT].model.getNumTrees == best.params["n_estimators"] + 1  # the start is a tree of its own
+    assert whole.base[M.GBT].getNumTrees == 5
+    assert whole.searches[M.FOREST].model.getNumTrees == whole.searches[M.FOREST].params["n_estimators"]
+
+
 def test_fit_does_not_depend_on_the_partitioning(data):
-    few = {M.FOREST: {"n_estimators": 5, "max_depth": 6}}
+    few = {M.FOREST: {"n_estimators": 5, "max_depth": 6}, M.GBT: {"n_estimators": 3}}
     scores = []
     for n in (1, 3):
-        fitted = M.fit_default(data.pd_train.repartition(n), "pd", [M.FOREST], few)
-        rows = M.pd_scores(fitted, data.pd_test, ["loan_id"]).orderBy("loan_id").collect()
+        fitted = M.fit_default(data.pd_train.repartition(n), "pd", [M.FOREST, M.GBT], few)
+        rows = M.pd_scores(fitted, data.pd_test, ["loan_id"]).orderBy("loan_id", "model").collect()
         scores.append([r["p"] for r in rows])
     assert scores[0] == scores[1]
 
@@ -205,21 +223,3 @@ def test_cleaned_table_without_key_and_with_truth_values(spark, tmp_path):
     (tmp_path / "c.csv").write_text("a,PD,emp_length_x\n1.5,0,True\n2.5,1,False\n")
     df = load_cleaned(spark, str(tmp_path / "c.csv"))
     assert [tuple(r) for r in df.orderBy("loan_id").collect()] == [(0, 1.5, 0, 1), (1, 2.5, 1, 0)]
-
-
-def test_search_queries_on_few_candidates(spark, monkeypatch):
-    from compare import connect, differences
-
-    from riskloom.plans import catalog, oracle
-
-    few = {
-        "pd": {M.GBT: {"n_estimators": [3]}, M.LOGISTIC: {"C": [0.1, 1]}, M.FOREST: {"n_estimators": [5]}, M.TREE: {"max_depth": [3, 5]}},
-        "lgd": {M.GBT: {"n_estimators": [3]}, M.FOREST: {"n_estimators": [5]}, M.TREE: {"max_depth": [3, 5]}},
-    }
-    monkeypatch.setattr(catalog, "SEARCH_GRIDS", few)
-    monkeypatch.setattr(oracle, "SEARCH_GRIDS", few)
-    monkeypatch.setattr(catalog, "_fitted", {})
-    con = connect(TABLES)
-    twins = {**oracle.ORACLE, "pd_grid_search": oracle._candidates("pd"), "lgd_grid_search": oracle._candidates("lgd")}
-    for name in ("pd_grid_search", "pd_final", "lgd_grid_search", "lgd_final", "model_round_trip"):
-        assert differences(catalog.QUERIES[name](spark, TABLES), con, twins[name]) == [], name
