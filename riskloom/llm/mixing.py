@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from riskloom.llm.common import words_of
 from riskloom.llm.ranks import ranked
 from riskloom.session import stage
+from riskloom.sources.csv_files import quoted
 
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
@@ -163,9 +164,23 @@ def mix(
     )
 
 
+def row_identity(docs: DataFrame) -> Column:
+    """Two 64-bit hashes of all columns and of where they are null; equal for equal rows only.
+
+    A hash alone passes over nulls, so rows that differ by the place of a null would be one.
+    """
+    columns = [quoted(c) for c in docs.columns]
+    holes = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    return F.struct(*[F.xxhash64(F.lit(salt), holes, *columns).alias(f"h{salt}") for salt in (1, 2)])
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them; all columns unchanged."""
-    key = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` as often as the mix takes them; all columns unchanged.
+
+    No row comes more often than the limit of its source, rows that are equal in
+    every column counting each for itself.
+    """
+    key = row_identity(docs)
     found = mix(docs, id_col, text_col, source_col, key=key, **options)
     times = found.groupBy("row_key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     # Rows of one key are equal in every column; the copies are shared out among them.

@@ -173,6 +173,19 @@ def test_mix_of_odd_rows(clashing, no_docs):
     assert mixing.mixed(no_docs).count() == 0
 
 
+def test_rows_that_differ_by_the_place_of_a_null_are_kept_apart(spark):
+    rows = [(1, "a b c", "en", None, 5), (1, "a b c", None, "en", 5), (1, None, "a b c", "en", 5), (2, "d e f", "en", None, 5), (2, "d e f", "en", None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    copies = collections.Counter((r.doc_id, r.text, r.lang, r.source) for r in mixing.mixed(docs).collect())
+    assert sum(copies.values()) == sum(r.copies for r in mixing.mix(docs).collect())
+    # The source "en" has one row with words, which alone makes up its share.
+    assert copies[1, "a b c", None, "en"] == 3
+    times = collections.Counter(rows)
+    assert all(n <= 3 * times[(*row, 5)] for row, n in copies.items())
+    for part in (docs.limit(0), docs.where("lang is null")):
+        assert mixing.mixed(part).columns == docs.columns
+
+
 @pytest.mark.parametrize("table", ["documents", "odd_docs", "clashing", "no_docs"])
 def test_packing_is_a_round_trip(request, table):
     docs = request.getfixturevalue(table)

@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {f"{q.split('_')[0]}_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {f"{q.split('_')[0]}_" for q in QUERIES}
     assert set(ORACLE) <= set(QUERIES)
     registered = __spark_entry__.queries()
     assert set(QUERIES) <= set(registered) and registered["pipeline"] is corpus_pipeline.run
@@ -66,3 +66,15 @@ def test_run_equals_its_stages(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.columns == ["doc_id", "piece", "start", "size", "bin_id", "capacity", "bin_offset"]
     assert out.count() > 0
+
+
+@pytest.mark.parametrize("table", ["odd_docs", "no_docs"])
+def test_stages_on_odd_and_empty_tables(request, spark, table, tmp_path):
+    docs = request.getfixturevalue(table)
+    columns = docs.columns
+    for name, step in corpus_pipeline.STAGES:
+        step(spark, docs, SMALL).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == columns
+    assert (docs.count() > 0) == (table == "odd_docs")
