@@ -62,11 +62,11 @@ def test_lgd_trees_beat_the_line(data):
 
 
 def test_parameters():
-    assert {n: len(M.grid_points(g)) for n, g in M.PD_GRIDS.items()} == {M.GBT: 18, M.LOGISTIC: 8, M.FOREST: 8, M.TREE: 6}
-    assert {n: len(M.grid_points(g)) for n, g in M.LGD_GRIDS.items()} == {M.GBT: 18, M.FOREST: 8, M.TREE: 6}
+    assert {n: len(M.grid_points(g)) for n, g in M.PD_GRIDS.items()} == {M.GBT: 18, M.LOGISTIC: 8, M.FOREST: 8, M.TREE: 12}
+    assert {n: len(M.grid_points(g)) for n, g in M.LGD_GRIDS.items()} == {M.GBT: 18, M.FOREST: 8, M.TREE: 12}
     for asked in ({"min_samples_split": 2}, {"solver": "saga"}):
         with pytest.raises(ValueError, match="no counterpart"):
-            M.classifier(M.TREE, 10, **asked)
+            M.classifier(M.FOREST, 10, **asked)
     with pytest.raises(ValueError, match="no parameter"):
         M._spark_params(M.FOREST, {"leaves": 3}, 10)
     with pytest.raises(ValueError, match="no PD model"):
@@ -76,13 +76,13 @@ def test_parameters():
 def test_parameter_mapping(spark):
     lr = M.classifier(M.LOGISTIC, 200, C=0.1, penalty="l1")
     assert (lr.getRegParam(), lr.getElasticNetParam(), lr.getStandardization()) == (0.05, 1.0, False)
-    deep = M.classifier(M.TREE, 1000, max_depth=None, min_samples_leaf=4)
+    deep = M.classifier(M.FOREST, 1000, max_depth=None, min_samples_leaf=4)
     assert (deep.getMaxDepth(), deep.getMinInstancesPerNode()) == (30, 4)
     # What is asked for is fitted, however many rows there are.
     for rows in (10, 10**7, 2**40):
         for leaf in (1, 4):
-            for make, name in ((M.classifier, M.TREE), (M.classifier, M.FOREST), (M.regressor, M.TREE), (M.regressor, M.FOREST)):
-                assert make(name, rows, min_samples_leaf=leaf).getMinInstancesPerNode() == leaf
+            for make in (M.classifier, M.regressor):
+                assert make(M.FOREST, rows, min_samples_leaf=leaf).getMinInstancesPerNode() == leaf
     assert not M.regressor(M.FOREST, 10**3, cache_node_ids=False).getCacheNodeIds()
     assert M.regressor(M.FOREST, 10**3).getFeatureSubsetStrategy() == "all"
 
@@ -142,7 +142,7 @@ def test_any_feature_name_will_do(spark):
     df = rows.toDF("loan_id", "PD", *names)
     for scale in (None, fit_scale(df, names)):
         features = M.assemble(names, scale)
-        model = M.classifier(M.TREE, 20, max_depth=2).fit(features.transform(df))
+        model = M.fit_default(features.transform(df), "pd", [M.TREE], {M.TREE: {"max_depth": 2}})[M.TREE]
         assert M.pd_scores({M.TREE: model}, features.transform(df), ["loan_id"]).count() == 20
 
 
