@@ -14,6 +14,7 @@ from riskloom.functions.keys import hash_number
 from riskloom.functions.numeric import half_even, ratio, ratio_or_zero
 from riskloom.operators import clean as C
 from riskloom.operators import evaluate as E
+from riskloom.operators import exact_trees as D
 from riskloom.operators import leaderboard as B
 from riskloom.operators import loss as X
 from riskloom.operators import profile as P
@@ -671,6 +672,34 @@ def _search_checked(train: DataFrame, found: dict[str, Search]) -> DataFrame:
     )
 
 
+def first_splits(loans: DataFrame, label: str) -> DataFrame:
+    """The split of the root of a tree over all rows, and those of its two children."""
+    kept = F.lit(0).alias("node"), F.lit(1).alias("least")
+    table = stage(D.with_cells(loans, F.col(label), [F.col(c) for c in NUMBERS], *kept), "cells")
+    root = stage(D.best_splits(table), "root")
+    children = D.moved(table, root.select("node", "feature", "threshold", F.lit(1).alias("left"), F.lit(2).alias("right")))
+    both = root.unionByName(D.best_splits(children))
+    name = F.array(*[F.lit(c) for c in NUMBERS])[F.col("feature")]
+    place = F.array(*[F.lit(p) for p in ("root", "left", "right")])[F.col("node")]
+    return both.withColumns({"place": place, "feature": name})
+
+
+@query
+def tree_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """First two levels of the default tree, over all loans."""
+    found = first_splits(clean(spark, folder, NUMBERS).fillna(FILL), "PD")
+    counts = [F.col(c).cast("bigint").alias(d) for c, d in (("s", "defaults"), ("s_left", "defaults_left"))]
+    return rounded(found.select("place", "feature", "threshold", "n", "n_left", *counts, "gain"))
+
+
+@query
+def severity_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """First two levels of the severity tree, over all defaulted loans."""
+    found = first_splits(C.defaulted(clean(spark, folder, NUMBERS)).fillna(FILL), "LGD")
+    means = [F.round(F.col(s) / F.col(n), 4).alias(m) for s, n, m in (("s", "n", "mean"), ("s_left", "n_left", "mean_left"))]
+    return found.select("place", "feature", F.round("threshold", 6).alias("threshold"), "n", "n_left", *means)
+
+
 @query
 def pd_baseline(spark: SparkSession, folder: str) -> DataFrame:
     run = whole_run(spark, folder)

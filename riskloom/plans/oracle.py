@@ -203,6 +203,40 @@ def _models(names: list[str]) -> str:
     return ", models as (select unnest([" + ", ".join(f"'{n}'" for n in names) + "]) as model)"
 
 
+def _tree_splits(label: str, rows: str, columns: str) -> str:
+    """Best cut of all rows, then of the rows on either side of it: running totals over the values."""
+    numbers = ["funded_amnt", "max_bal_owed", "num_inq", "interest_rate", "bal_to_cred_lim"]
+    cells = _union(
+        f"select loan_id, {i} as feature, '{c}' as name, cast({'coalesce(interest_rate, 0)' if c == 'interest_rate' else c} as double) as v, "
+        f"cast({label} as double) as y from clean where {rows}"
+        for i, c in enumerate(numbers)
+    )
+
+    def level(k: int, source: str) -> str:
+        return f"""
+, v{k} as (select node, feature, name, v, count(*) as n, sum(y) as s from {source} group by all)
+, r{k} as (
+  select node, feature, name, (v + lead(v) over w) / 2 as threshold, sum(n) over w as n_left, sum(s) over w as s_left,
+         sum(n) over (partition by node, feature) as n, sum(s) over (partition by node, feature) as s
+  from v{k} window w as (partition by node, feature order by v))
+, g{k} as (
+  select *, s_left * s_left / n_left + (s - s_left) * (s - s_left) / (n - n_left) - s * s / n as gain
+  from r{k} where threshold is not null)
+, b{k} as (
+  select * from (select *, row_number() over (partition by node order by gain desc, feature, threshold) as place from g{k}
+                 where gain > 1e-9 * greatest(1.0, s * s / n)) where place = 1)"""
+
+    return BASE + f"""
+, cells as ({cells})
+, c0 as (select *, 0 as node from cells)""" + level(0, "c0") + """
+, sides as (
+  select loan_id, case when cells.v <= b0.threshold then 1 else 2 end as node from cells join b0 using (feature))
+, c1 as (select cells.*, node from cells join sides using (loan_id))""" + level(1, "c1") + f"""
+, found as (select * from b0 union all select * from b1)
+select case node when 0 then 'root' when 1 then 'left' else 'right' end as place, name as feature,
+       round(threshold, 6) as threshold, cast(n as bigint) as n, cast(n_left as bigint) as n_left, {columns} from found"""
+
+
 def _candidates(kind: str) -> str:
     rows = []
     for name, grid in SEARCH_GRIDS[kind].items():
@@ -455,7 +489,9 @@ from grid left join n using (bin), b""",
     "top_risk_loans": BASE + """
 select 'L-' || cast(loan_id as varchar) as loan, EAD as ead, round(el, 6) as expected_loss,
        round_even(el / EAD * 100, 1) as el_pct from lossy order by el desc, loan_id limit 10""",
-    # Models: what can be decided without fitting them
+    # Models: the first splits of the trees, and what can be decided without fitting
+    "tree_splits": _tree_splits("PD", "true", "cast(s as bigint) as defaults, cast(s_left as bigint) as defaults_left, round(gain, 6) as gain"),
+    "severity_splits": _tree_splits("LGD", "PD = 1", "round(s / n, 4) as mean, round(s_left / n_left, 4) as mean_left"),
     "pd_baseline": BASE + _models(PD_MODELS) + """
 select model, count(*) as loans, cast(sum(PD) as bigint) as defaults, true as in_range, true as classes,
        true as board_in_order from hashed, models where h % 5 = 0 group by model""",
