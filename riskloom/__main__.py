@@ -1,4 +1,4 @@
-"""python -m riskloom prepare | profile | run"""
+"""python -m riskloom prepare | profile | run | score"""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from riskloom.operators.encode import MAX_LEVELS
 from riskloom.operators.evaluate import OPERATING_THRESHOLD
-from riskloom.plans.jobs import prepare_job, profile_job, run_job
+from riskloom.plans.jobs import prepare_job, profile_job, run_job, score_job
 from riskloom.sources.csv_files import MissingInput
 
 
@@ -27,6 +27,7 @@ def main() -> int:
     )
     prepare.add_argument("--null-category", action="store_true", help="a column of its own for missing texts")
     prepare.add_argument("--max-levels", type=int, default=MAX_LEVELS, help="most values of a text column")
+    prepare.add_argument("--preparation", metavar="FOLDER", help="save what was learned, for scoring new loans")
     profile = jobs.add_parser("profile", help="describe a cleaned table")
     profile.add_argument("table")
     profile.add_argument("out")
@@ -42,6 +43,12 @@ def main() -> int:
     run.add_argument("--threshold", type=float, default=OPERATING_THRESHOLD, help="operating point")
     run.add_argument("--max-fit-rows", type=int, help="rows used to fit, about; all if absent")
     run.add_argument("--partitions", type=int, help="partitions of a fit; from the rows if absent")
+    score = jobs.add_parser("score", help="score new raw loans with a saved preparation and the models of a run")
+    score.add_argument("features")
+    score.add_argument("preparation")
+    score.add_argument("run", help="output folder of the run job")
+    score.add_argument("out")
+    score.add_argument("--key", help="key column; without it the position is the key")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("riskloom").getOrCreate()
@@ -53,6 +60,7 @@ def main() -> int:
                 args.target,
                 args.out,
                 args.key,
+                args.preparation,
                 cap_outliers=args.cap_outliers,
                 exclude_target_inputs=args.exclude_target_inputs,
                 null_category=args.null_category,
@@ -60,6 +68,8 @@ def main() -> int:
             )
         elif args.job == "profile":
             profile_job(spark, args.table, args.out)
+        elif args.job == "score":
+            score_job(spark, args.features, args.preparation, args.run, args.out, args.key)
         else:
             run_job(
                 spark,

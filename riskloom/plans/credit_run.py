@@ -117,8 +117,9 @@ def prepare_training(
         train, test = exact_train_test_split(loans, key, seed, stratify=stratify)
     else:
         train, test = train_test_split(loans, key, seed)
-    pd_features = assemble(columns, fit_scale(train, columns))
-    lgd_features = assemble(columns)
+    # The fill goes with the models: new loans may have missing cells too.
+    pd_features = assemble(columns, fit_scale(train, columns), fill)
+    lgd_features = assemble(columns, fill=fill)
 
     def vectors(features: PipelineModel, df: DataFrame, label: str) -> DataFrame:
         return features.transform(df).select(key, label, "features")

@@ -1,4 +1,4 @@
-"""The three jobs of the command line: prepare a table, profile it, train and report."""
+"""The jobs of the command line: prepare a table, profile it, train and report, score new loans."""
 
 from __future__ import annotations
 
@@ -10,8 +10,9 @@ from riskloom.operators import profile as P
 from riskloom.operators import spread as S
 from riskloom.operators.clean import join_by_key
 from riskloom.operators.correlate import correlation
-from riskloom.operators.training import save_model
+from riskloom.operators.training import load_model, save_model, score_portfolio
 from riskloom.plans.credit_run import credit_run
+from riskloom.plans.preparation import fit_preparation
 from riskloom.plans.prepare import clean_loans, encoded_loans
 from riskloom.session import stage, staging
 from riskloom.sources.csv_files import (
@@ -41,13 +42,44 @@ def load_raw(spark: SparkSession, features: str, target: str, key: str | None =
 
 
 def prepare_job(
-    spark: SparkSession, features: str, target: str, out: str, key: str | None = None, **encoding
+    spark: SparkSession,
+    features: str,
+    target: str,
+    out: str,
+    key: str | None = None,
+    preparation: str | None = None,
+    **encoding,
 ) -> None:
-    """Clean and encode the raw files and write the table to ``out``; options as of :func:`encoded_loans`."""
+    """Clean and encode the raw files and write the table to ``out``; options as of :func:`encoded_loans`.
+
+    What was learned on the way is saved to ``preparation``, for :func:`score_job`.
+    """
     with staging(spark):
         raw = load_raw(spark, features, target, key)
         drop = [c for c in ("emp_title",) if c in raw.columns]
-        write_csv(encoded_loans(stage(clean_loans(raw, drop=drop), "clean"), KEY, **encoding), out)
+        clean = stage(clean_loans(raw, drop=drop), "clean")
+        write_csv(encoded_loans(clean, KEY, **encoding), out)
+        if preparation:
+            save_model(fit_preparation(clean, KEY, **encoding), preparation)
+
+
+def load_features(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    """A raw file of loans without outcome, with the key ``loan_id``: the position if there is no key column."""
+    df = read_csv(spark, path, hint="Give the raw feature file.", positions=not key)
+    return df.withColumnRenamed(key, KEY) if key else with_row_position(df, KEY)
+
+
+def score_job(spark: SparkSession, features: str, preparation: str, run: str, out: str, key: str | None = None) -> None:
+    """Score raw loans with a saved preparation and the models of a run; writes ``scored`` and ``summary``.
+
+    Every loan of the file is scored: PD ``p``, severity ``lgd_hat``, expected loss ``el``.
+    """
+    with staging(spark):
+        loans = load_model(preparation).transform(load_features(spark, features, key))
+        models = load_model(f"{run}/pd_model"), load_model(f"{run}/lgd_model")
+        scored = stage(X.expected_loss(score_portfolio(loans, *models, [KEY, "EAD"])), "scored")
+        scored.select(KEY, "EAD", "p", "lgd_hat", "el").write.mode("overwrite").parquet(f"{out}/scored")
+        write_csv(X.loss_summary(scored), f"{out}/summary")
 
 
 def load_cleaned(spark: SparkSession, path: str) -> DataFrame:
