@@ -20,7 +20,7 @@ from riskloom.operators import loss as X
 from riskloom.operators import profile as P
 from riskloom.operators import spread as S
 from riskloom.operators.correlate import correlation
-from riskloom.operators.encode import fit_vocabulary, one_hot
+from riskloom.operators.encode import fit_vocabulary, one_hot, one_hot_vector, rank_vocabulary
 from riskloom.operators.scale import fit_scale, scaled
 from riskloom.operators.split import exact_train_test_split, is_test, train_test_split, with_folds
 from riskloom.operators.training import (
@@ -411,6 +411,15 @@ def one_hot_(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(one_hot(clean(spark, folder), vocabulary))
 
 
+@query
+def one_hot_sparse(spark: SparkSession, folder: str) -> DataFrame:
+    """All text columns of the loans, the one with a value per customer too, as one sparse vector, in its text form."""
+    texts = ["emp_title", "purpose", "emp_length"]
+    loans = stage(raw_loans(spark, folder, ["loan_id", *texts]), "texts")
+    vectors = one_hot_vector(loans, stage(rank_vocabulary(loans, texts), "vocabulary"), texts)
+    return vectors.select("loan_id", F.col("dummies").cast("string").alias("dummies"))
+
+
 @query
 def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
     loans = stage(encoded(spark, folder), "encoded")

@@ -384,6 +384,18 @@ select count(*) as total_loans, cast(7 as bigint) as features, round(avg(PD), 6)
     "iqr_treatment": BASE + "select loan_id, " + ", ".join(_iqr_column(c) for c in NUMBERS) + " from clean, "
     + ", ".join(f"{_quartiles(f'cast({c} as double)')} as q_{c}" for c in NUMBERS),
     "one_hot": BASE + ONE_HOT.format(kind="integer"),
+    "one_hot_sparse": BASE + """
+, cells as (
+  select loan_id, unnest([0, 1, 2]) as c, unnest([emp_title, purpose, emp_length]) as v from raw)
+, levels as (
+  select c, v, row_number() over (partition by c order by v) - 1 as r from cells where v is not null group by c, v)
+, sizes as (select c, count(*) - 1 as n from levels group by c)
+, offsets as (select c, coalesce(sum(n) over (order by c rows between unbounded preceding and 1 preceding), 0) as first, sum(n) over () as dims from sizes)
+, placed as (
+  select loan_id, list(cast(first + r - 1 as bigint) order by first + r) filter (where r > 0) as spots
+  from cells left join levels using (c, v) left join offsets using (c) group by loan_id)
+select loan_id, '(' || cast((select max(dims) from offsets) as bigint) || ',[' || coalesce(array_to_string(spots, ','), '') || '],['
+       || coalesce(rtrim(repeat('1.0,', len(spots)), ','), '') || '])' as dummies from placed""",
     "standard_scale": BASE + ", enc as (" + ONE_HOT.format(kind="integer") + f""")
 , e as (select *, {_hash(42)} % 5 as fifth from enc)
 , m as (select """ + ", ".join(
