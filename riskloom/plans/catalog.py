@@ -21,6 +21,7 @@ from riskloom.operators import profile as P
 from riskloom.operators import spread as S
 from riskloom.operators.correlate import correlation
 from riskloom.operators.encode import fit_vocabulary, one_hot, one_hot_vector, rank_vocabulary
+from riskloom.operators.linear import fit_line, product_sums
 from riskloom.operators.scale import fit_scale, scaled
 from riskloom.operators.split import exact_train_test_split, is_test, train_test_split, with_folds
 from riskloom.operators.training import (
@@ -34,7 +35,6 @@ from riskloom.operators.training import (
     lgd_scores,
     load_model,
     pd_scores,
-    regressor,
     save_model,
     search_table,
 )
@@ -526,7 +526,7 @@ def ols_single_feature(spark: SparkSession, folder: str) -> DataFrame:
     loans = clean(spark, folder, ["max_bal_owed"]).select("LGD", (F.col("max_bal_owed") / 1000).alias("x"))
     loans = stage(loans, "clean")
     vectors = VectorAssembler(inputCols=["x"], outputCol="features").transform(loans)
-    model = regressor(OLS).fit(vectors)
+    model = fit_line(vectors, "LGD")
     return rounded(
         spark.createDataFrame(
             [(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double"
@@ -681,6 +681,19 @@ def _search_checked(train: DataFrame, found: dict[str, Search]) -> DataFrame:
     )
 
 
+@query
+def product_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """What a line is solved from: sums of products of the numbers, the severity and ones over all
+    defaulted loans, as shares of the columns' own."""
+    loans = C.defaulted(clean(spark, folder, NUMBERS)).fillna(FILL)
+    names = F.array(*[F.lit(c) for c in ("ones", *NUMBERS, "LGD")])
+    sums = stage(product_sums(loans, [F.col(c) for c in (*NUMBERS, "LGD")]), "products")
+    own = sums.where("i = j").select("i", F.col("value").alias("own"))
+    both = sums.join(own, "i").join(own.select(F.col("i").alias("j"), F.col("own").alias("other")), "j")
+    share = ratio(F.col("value"), F.sqrt(F.col("own") * F.col("other")))
+    return both.select(names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), F.round(share, 9).alias("share"))
+
+
 def first_splits(loans: DataFrame, label: str) -> DataFrame:
     """The split of the root of a tree over all rows, and those of its two children."""
     kept = F.lit(0).alias("node"), F.lit(1).alias("least")

@@ -502,6 +502,18 @@ from grid left join n using (bin), b""",
 select 'L-' || cast(loan_id as varchar) as loan, EAD as ead, round(el, 6) as expected_loss,
        round_even(el / EAD * 100, 1) as el_pct from lossy order by el desc, loan_id limit 10""",
     # Models: the first splits of the trees, and what can be decided without fitting
+    "product_matrix": BASE + """
+, numbers as (
+  select loan_id, unnest(['ones', 'funded_amnt', 'max_bal_owed', 'num_inq', 'interest_rate', 'bal_to_cred_lim', 'LGD']) as c,
+         unnest(range(7)) as i,
+         unnest([cast(1 as double), cast(funded_amnt as double), cast(max_bal_owed as double), cast(num_inq as double),
+                 coalesce(interest_rate, 0), cast(bal_to_cred_lim as double), LGD]) as v
+  from clean where PD = 1)
+, own as (select i, sum(v * v) as s from numbers group by i)
+, pairs as (
+  select a.c as a, b.c as b, a.i as i, b.i as j, sum(a.v * b.v) as s
+  from numbers a join numbers b on a.loan_id = b.loan_id and a.i <= b.i group by all)
+select a, b, round(pairs.s / nullif(sqrt(x.s * y.s), 0), 9) as share from pairs join own x using (i) join own y on y.i = j""",
     "tree_splits": _tree_splits("PD", "true", "cast(s as bigint) as defaults, cast(s_left as bigint) as defaults_left, round(gain, 6) as gain"),
     "severity_splits": _tree_splits("LGD", "PD = 1", "round(s / n, 4) as mean, round(s_left / n_left, 4) as mean_left"),
     "pd_baseline": BASE + _models(PD_MODELS) + """
