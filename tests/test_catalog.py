@@ -12,6 +12,22 @@ def tables():
     return connect(TABLES)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def fewer_trees():
+    """The queries of the models as registered, but for the numbers of trees: these alone take minutes."""
+    from riskloom.operators.training import FOREST, GBT
+    from riskloom.plans import catalog
+
+    patch = pytest.MonkeyPatch()
+    fewer = {GBT: [3, 6], FOREST: [5, 10]}
+    grids = {k: {n: {**g, "n_estimators": fewer[n]} if n in fewer else g for n, g in v.items()} for k, v in catalog.SEARCH_GRIDS.items()}
+    patch.setattr(catalog, "SEARCH_GRIDS", grids)
+    patch.setattr(catalog, "PARAMS", {GBT: {"n_estimators": 6}, FOREST: {"n_estimators": 10}})
+    patch.setattr(catalog, "_fitted", {})
+    yield
+    patch.undo()
+
+
 def test_twins_belong_to_queries():
     assert set(ORACLE) <= set(QUERIES)
 
