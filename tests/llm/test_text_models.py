@@ -274,3 +274,45 @@ def test_repeated_text_is_more_likely_than_new_text(spark):
     rows += [(1000, "zyx wvu tsr qpo nml kji"), (1001, "the cat sat on the log.")]
     got = {r.doc_id: r.score / r.n_tokens for r in pitman_yor.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got[1001] > got[1000] + 1
+
+
+def test_the_preceding_word_makes_the_context(spark):
+    """Words of one kind lead to different words; each is likely after its own alone."""
+    rows = [(i, "north wind " * 4 if i % 2 else "south rain " * 4) for i in range(300)]
+    ids = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
+    rows += [(ids[0], "north wind"), (ids[1], "north rain"), (ids[2], "never rain")]
+    got = {r.doc_id: r for r in pitman_yor.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[ids[0]].base_score == pytest.approx(got[ids[1]].base_score, abs=0.1)
+    assert got[ids[0]].score > got[ids[1]].score + 1
+    assert math.isfinite(got[ids[2]].score)
+
+
+@pytest.mark.parametrize("frequent", [3, 1 << 17])
+def test_pair_probabilities_follow_the_restaurants(spark, monkeypatch, frequent):
+    """What training texts score is c - d t and the share left to the kind, for pairs seen once and more often."""
+    monkeypatch.setattr(pitman_yor, "FREQUENT", frequent)
+    monkeypatch.setattr(pitman_yor, "PAIRS", 2)
+    texts = ["a b a b a c", "a b d", "", None, "e f g a b", "c c c a"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    made, learn = [], pitman_yor.learn
+    monkeypatch.setattr(pitman_yor, "learn", lambda *a, **b: made.append(learn(*a, **b)) or made[0])
+    got = {r.doc_id: r for r in pitman_yor.score(docs).collect()}
+    model = made[0]
+    table = {r.h: r for r in model.table.collect()}
+    tables = {(r.w, r.u): r.t for r in model.seats.collect()}
+    own = lambda w: table[pitman_yor.word_hashes([w])[0].item()]
+    train = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 10]
+    counts = collections.Counter(p for i in train for p in zip([b"", *tokens(texts[i])], tokens(texts[i])))
+    d = model.pair_discount
+    after = collections.defaultdict(list)
+    for (u, w), c in counts.items():
+        after[own(u).u].append((own(w).h, c, tables.get((own(w).h, own(u).u), 1)))
+    for i in range(len(texts)):
+        want = 0.0
+        for u, w in zip([b"", *tokens(texts[i])], tokens(texts[i])):
+            kind = pitman_yor.context(u) if u else 0
+            room = after.get(own(u).u, [])
+            assert own(u).v == sum(t for _, _, t in room) and own(u).c == sum(c for _, c, _ in room)
+            _, c, t = next((x for x in room if x[0] == own(w).h), (0, 0, 0))
+            want += math.log10((c - d * t + (1 + d * own(u).v) * 10 ** own(w)[f"p{kind}"]) / (1 + own(u).c))
+        assert got[i].score == pytest.approx(want, rel=1e-5)
