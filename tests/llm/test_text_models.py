@@ -295,11 +295,17 @@ def test_pair_probabilities_follow_the_restaurants(spark, monkeypatch, frequent)
     texts = ["a b a b a c", "a b d", "", None, "e f g a b", "c c c a"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
     made, learn = [], pitman_yor.learn
-    monkeypatch.setattr(pitman_yor, "learn", lambda *a, **b: made.append(learn(*a, **b)) or made[0])
+
+    def learned(*given):
+        model = learn(*given)
+        made.extend([model, model.table.collect(), model.seats.collect()])  # gone when the scores are there
+        return model
+
+    monkeypatch.setattr(pitman_yor, "learn", learned)
     got = {r.doc_id: r for r in pitman_yor.score(docs).collect()}
     model = made[0]
-    table = {r.h: r for r in model.table.collect()}
-    tables = {(r.w, r.u): r.t for r in model.seats.collect()}
+    table = {r.h: r for r in made[1]}
+    tables = {(r.w, r.u): r.t for r in made[2]}
     own = lambda w: table[pitman_yor.word_hashes([w])[0].item()]
     train = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 10]
     counts = collections.Counter(p for i in train for p in zip([b"", *tokens(texts[i])], tokens(texts[i])))
