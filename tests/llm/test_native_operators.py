@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import pytest
@@ -225,6 +226,27 @@ def test_tokens_in_a_row_have_contexts(spark):
     assert [(s.left, s.right) for s in spans][1] == ("ids ann@x.com ", " end")
 
 
+def test_units_are_cut_from_the_staged_bare_texts_once(spark, tmp_path):
+    """No pass of a round makes the bare texts again, nor cuts them a second time to see that there are units."""
+    texts = spark.createDataFrame(enumerate([*TRICKY, "", "(call) +1 (171) 555-2028, please!"]), "row_id bigint, text string")
+    based = texts.withColumn("base", personal_data.base_spans(F.col("text")))
+    based.withColumn("bare", personal_data.bare(F.col("text"), F.col("base"))).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    found = personal_data.units(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan and plan.lower().count("split(") == 2
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, personal_data.units(rows.drop("bare")).collect()))
+
+
+def test_signs_at_edges_are_those_of_the_plain_pattern(spark):
+    plain = rf"(?:(?<=[\x20\x09-\x0D])|\G){personal_data.SIGN}|{personal_data.SIGN}(?={personal_data.SIGN}{{0,16}}+(?:[\x20\x09-\x0D]|$))"
+    numbers = random.Random(4)
+    texts = ["".join(numbers.choice("a1 .,;()(12)\"'|~\t+-@é") for _ in range(numbers.randrange(40))) for _ in range(3000)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    both = docs.select(*[F.regexp_replace("text", p, "#").alias(c) for c, p in (("a", plain), ("b", personal_data.EDGE))])
+    assert both.where("a <> b").count() == 0
+
+
 def test_redaction(clashing):
     out = personal_data.redact(clashing)
     assert out.columns == clashing.columns
