@@ -322,3 +322,24 @@ def test_pair_probabilities_follow_the_restaurants(spark, monkeypatch, frequent)
             _, c, t = next((x for x in room if x[0] == own(w).h), (0, 0, 0))
             want += math.log10((c - d * t + (1 + d * own(u).v) * 10 ** own(w)[f"p{kind}"]) / (1 + own(u).c))
         assert got[i].score == pytest.approx(want, rel=1e-5)
+
+
+def test_every_sweep_seats_the_pairs_anew(spark):
+    """Tables of pairs change from sweep to sweep, and are the mean over the sweeps kept."""
+    texts = [" ".join(f"w{(i * j) % 17} x{(i + j) % 5}" for j in range(40)) for i in range(60)]
+    docs = spark.createDataFrame([(False, t) for t in texts], "held_out boolean, text string")
+
+    def tables(sweeps, kept):
+        model = pitman_yor.learn(docs, sweeps, kept)
+        own = {r.u: r.v for r in model.table.collect()}
+        seats = {(r.w, r.u): (r.n, r.t) for r in model.seats.collect()}
+        alone = collections.Counter(r.u for r in model.rest.collect())
+        for u, v in own.items():
+            assert v == pytest.approx(alone[u] + sum(t for (_, x), (_, t) in seats.items() if x == u))
+        assert all(1 <= t <= n for n, t in seats.values())
+        return {k: t for k, (_, t) in seats.items()}
+
+    first, third, mean = tables(1, 1), tables(3, 1), tables(3, 2)
+    assert first.keys() == third.keys() == mean.keys()
+    assert sum(first[k] != third[k] for k in first) > len(first) / 20
+    assert any(t % 1 == 0.5 for t in mean.values())
